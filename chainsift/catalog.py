@@ -163,5 +163,154 @@ def q_dedupe_logs(spark, sf):
     return D.decode(dedupe_logs(a.unionByName(a)), R.clpool_registry())
 
 
+# ---- ABI-derived registries ----------------------------------------------
+
+def _abi_registry(spark, semantics="reference"):
+    from .sources.abi import FIXTURE_ABIS, registry_from_abi
+
+    return registry_from_abi(spark, FIXTURE_ABIS["pool_a"], semantics)
+
+
+def q_decode_abi_registry(spark, sf):
+    return D.decode(lake(spark, sf, "lineitem"), _abi_registry(spark))
+
+
+def q_decode_abi_signed(spark, sf):
+    return D.decode(lake(spark, sf, "lineitem"), _abi_registry(spark, "abi"), semantics="abi")
+
+
+def q_sorted_swaps(spark, sf):
+    d = D.decode(lake(spark, sf, "lineitem"), _abi_registry(spark), events=["Swap"])
+    return d.where(F.col("event") == "Swap").orderBy("block_timestamp", "log_index").select(
+        "block_number", "block_timestamp", "log_index", "tx_hash", "amount0", "amount1", "tick"
+    )
+
+
+# ---- coverage journal / interval planning ---------------------------------
+
+REQUESTED = (50, 480000)
+
+
+def _manifest(spark, sf):
+    return X.manifest_orders(spark, sf)
+
+
+def q_merge_coverage(spark, sf):
+    from .operators import manifest as M, ranges as G
+
+    return G.merge(M.done_intervals(_manifest(spark, sf)))
+
+
+def q_uncovered_ranges(spark, sf):
+    from .operators import manifest as M, ranges as G
+
+    return G.subtract(M.done_intervals(_manifest(spark, sf)), *REQUESTED)
+
+
+def q_coverage_gaps(spark, sf):
+    from .operators import manifest as M, ranges as G
+
+    gaps = G.subtract(M.done_intervals(_manifest(spark, sf)), *REQUESTED)
+    total = REQUESTED[1] - REQUESTED[0] + 1
+    return gaps.agg(
+        F.count(F.lit(1)).alias("gaps"),
+        F.coalesce(F.sum(F.col("to_block") - F.col("from_block") + 1), F.lit(0)).cast("long").alias("gap_blocks"),
+    ).select(
+        F.lit(REQUESTED[0]).cast("long").alias("requested_from"),
+        F.lit(REQUESTED[1]).cast("long").alias("requested_to"),
+        "gaps",
+        "gap_blocks",
+        (F.lit(total).cast("long") - F.col("gap_blocks")).alias("covered_blocks"),
+    )
+
+
+def q_work_seeds(spark, sf):
+    from .operators import manifest as M, ranges as G
+
+    return G.work_seeds(M.done_intervals(_manifest(spark, sf)), *REQUESTED, 777)
+
+
+def q_chunk_ranges(spark, sf):
+    from .operators import ranges as G
+
+    return G.chunk(_manifest(spark, sf).select("from_block", "to_block"), 7)
+
+
+def _bounds_grid(df, step):
+    from .operators import ranges as G
+
+    b = df.agg(F.min("from_block").alias("from_block"), F.max("to_block").alias("to_block"))
+    return G.chunk(b, step)
+
+
+def q_raw_chunk_grid(spark, sf):
+    return _bounds_grid(_manifest(spark, sf), 1000)
+
+
+def q_pending_chunks(spark, sf):
+    from .operators import manifest as M
+
+    m = _manifest(spark, sf)
+    return M.pending_chunks(_bounds_grid(m, 100), m, rerun_failed=False)
+
+
+def q_pending_chunks_rerun(spark, sf):
+    from .operators import manifest as M
+
+    m = _manifest(spark, sf)
+    return M.pending_chunks(_bounds_grid(m, 100), m, rerun_failed=True)
+
+
+def q_bisect_failed(spark, sf):
+    from .operators import ranges as G
+
+    return G.bisect(_manifest(spark, sf).where(F.col("status") == "failed"), max_attempts=3)
+
+
+def q_run_stats(spark, sf):
+    from .operators import manifest as M
+
+    return M.run_stats(_manifest(spark, sf))
+
+
+def q_raw_fetch_summary(spark, sf):
+    from .operators import manifest as M
+
+    return M.raw_fetch_summary(_manifest(spark, sf))
+
+
+def q_manifest_done(spark, sf):
+    """Journal written as JSON-lines files (one per run, some lines corrupt), scanned back."""
+    from .sources.manifest import done_coverage
+
+    path = scratch_path(spark, "journal")
+    lines = X.manifest_lines(_manifest(spark, sf))
+    lines.repartition("run_id").sortWithinPartitions("seq").select("run_id", "value").write.partitionBy("run_id").text(path)
+    return done_coverage(spark, path, pattern="*.txt")
+
+
+def _events_chunks(spark, sf):
+    a = lake(spark, sf, "events")
+    b = a.agg(F.min("block_number").alias("from_block"), F.max("block_number").alias("to_block"))
+    from .operators import ranges as G
+
+    return a, G.chunk(b, 50)
+
+
+def q_logs_per_chunk(spark, sf):
+    from .operators import manifest as M
+
+    a, chunks = _events_chunks(spark, sf)
+    j = M.assign_chunks(a, chunks, bucket=50)
+    return j.select("chunk_from", "chunk_to", "block_number", "tx_hash", "log_index")
+
+
+def q_chunk_stats(spark, sf):
+    from .operators import manifest as M
+
+    a, chunks = _events_chunks(spark, sf)
+    return M.chunk_stats(D.classify(a, R.builtin_registry()), chunks, bucket=50)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}

@@ -195,3 +195,32 @@ def raw_logs_part(spark: SparkSession, sf_dir: str) -> DataFrame:
         size.alias("log_index"),
     )
     return _raw(out)
+
+
+def manifest_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage journal encoded from orders: status F -> done, O -> failed, P -> started."""
+    o = _table(spark, sf_dir, "orders")
+    key, cust, st = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus")
+    frm = (key % 5000) * 100
+    filtered = key % 5
+    return o.select(
+        F.concat(F.lit("r"), (key % 4).cast("string")).alias("run_id"),
+        frm.cast("long").alias("from_block"),
+        (frm + cust % 150).cast("long").alias("to_block"),
+        F.when(st == "F", "done").when(st == "O", "failed").otherwise("started").alias("status"),
+        F.lit(1).cast("int").alias("attempts"),
+        F.when(st == "O", F.lit("timeout")).alias("error"),
+        cust.cast("long").alias("logs"),
+        (cust - filtered).cast("long").alias("decoded"),
+        F.lit(0).cast("long").alias("shards"),
+        (F.lit(1.7e9) + key.cast("double")).alias("updated_at"),
+        filtered.cast("long").alias("filtered"),
+        key.alias("seq"),
+    )
+
+
+def manifest_lines(manifest: DataFrame) -> DataFrame:
+    """JSON lines of a journal; records whose ``seq % 97 = 0`` are written corrupt."""
+    body = F.to_json(F.struct(*[c for c in manifest.columns if c not in ("seq",)]))
+    line = F.when(F.col("seq") % 97 == 0, F.lit('{"bad')).otherwise(body)
+    return manifest.select("run_id", "seq", line.alias("value"))

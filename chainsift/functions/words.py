@@ -98,6 +98,22 @@ def _u124_string(body64: Column) -> Column:
     return (hi * two64 + lo).cast("decimal(38,0)").cast("string")
 
 
+_Q19, _R19 = divmod(1 << 256, 10**19)
+
+
+def _two256_minus(m: Column) -> Column:
+    """Decimal text of ``2^256 - m`` for a long ``0 < m <= 2^62`` (split at 10^19, no wide arithmetic)."""
+    low_ok = F.lpad((F.lit(_R19) - m).cast("string"), 19, "0")
+    low_borrow = F.lpad((F.lit(str(10**19 + _R19)).cast("decimal(20,0)") - m).cast("decimal(20,0)").cast("string"), 19, "0")
+    return F.when(m <= F.lit(_R19), F.concat(F.lit(str(_Q19)), low_ok)).otherwise(F.concat(F.lit(str(_Q19 - 1)), low_borrow))
+
+
+def _near_top(body: Column) -> tuple[Column, Column]:
+    """(is ``body`` a 64-digit word within 2^60 of 2^256, ``2^256 - value`` as long)."""
+    cond = (F.length(body) == 64) & (F.substring(body, 1, 49) == F.lit("f" * 49))
+    return cond, F.lit(1 << 60) - _u60(F.substring(body, 50, 15))
+
+
 def decimal_plan(body: Column, mode: int, fixed_width: bool) -> tuple[Column, Column]:
     """JVM fast path for an integer in hex text, and the input left for the Arrow UDF.
 
@@ -111,14 +127,16 @@ def decimal_plan(body: Column, mode: int, fixed_width: bool) -> tuple[Column, Co
     (else null), so the UDF only sees the few wide values.
     """
     sig = F.length(significant(body))
+    top, dist = _near_top(body)
     if mode == 0:
         fits64 = sig <= 16
-        fast = F.when(fits64, F.conv(body, 16, 10))
         if fixed_width:
             fits124 = sig <= 31
             fast = F.when(fits64, F.conv(F.substring(body, 49, 16), 16, 10)).when(fits124, _u124_string(body))
-            return fast, F.when(~fits124, body)
-        return fast, F.when(~fits64, body)
+            fast = fast.when(top, _two256_minus(dist))
+            return fast, F.when(~fits124 & ~top, body)
+        fast = F.when(fits64, F.conv(body, 16, 10)).when(top, _two256_minus(dist))
+        return fast, F.when(~fits64 & ~top, body)
     n = abs(mode)
     if mode < 0 and n <= 60:
         # ABI rule, narrow type: only the low N bits matter.
@@ -132,6 +150,10 @@ def decimal_plan(body: Column, mode: int, fixed_width: bool) -> tuple[Column, Co
     else:
         fast = F.when(small, v.cast("string"))
     handled = small
+    if mode > 0 and n <= 61:
+        # reference rule on a sign-extended narrow negative: 2^256 - (dist + 2^N)
+        fast = fast.when(top, _two256_minus(dist + F.lit(1 << n)))
+        handled = handled | top
     if fixed_width and (n == 256 or mode < 0):
         # sign-extended small negative: 49 leading f's, value = low60 - 2^60
         neg = F.substring(body, 1, 49) == F.lit("f" * 49)

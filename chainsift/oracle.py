@@ -106,6 +106,66 @@ def gauge_rows() -> str:
 FROM o"""
 
 
+LI = """li AS (
+  SELECT *, CAST(round(l_extendedprice * 100) AS BIGINT) * CASE WHEN l_returnflag = 'R' THEN -1 ELSE 1 END AS p,
+    l_linenumber - 4 AS t
+  FROM lineitem)"""
+
+ABI_A_COLS = ["amount", "amount0", "amount1", "feeProtocol0New", "feeProtocol0Old", "feeProtocol1New", "feeProtocol1Old",
+              "liquidity", "observationCardinalityNextNew", "observationCardinalityNextOld", "owner", "paid0", "paid1",
+              "recipient", "sender", "sqrtPriceX96", "tick", "tickLower", "tickUpper"]
+
+
+def swap_rows(semantics: str) -> str:
+    tick = ("CAST(t AS VARCHAR)" if semantics == "abi" else
+            f"CASE WHEN t >= 0 THEN CAST(t AS VARCHAR) ELSE ('{TWO256}'::BIGNUM + t::BIGNUM - 16777216::BIGNUM)::VARCHAR END")
+    vals = {
+        "amount0": "CAST(p AS VARCHAR)", "amount1": "CAST(-p AS VARCHAR)", "liquidity": "CAST(l_partkey AS VARCHAR)",
+        "recipient": addr("l_partkey"), "sender": addr("l_suppkey"), "sqrtPriceX96": wide("l_orderkey + 1", "l_linenumber"),
+        "tick": tick,
+    }
+    cols = ", ".join(f'{vals.get(c, "NULL::VARCHAR")} AS "{c}"' for c in ABI_A_COLS)
+    return f"""SELECT l_orderkey AS block_number, epoch_us(l_shipdate) // 1000000 AS block_timestamp,
+  '0x' || sha256(CAST(l_orderkey AS VARCHAR)) AS tx_hash, CAST(l_linenumber AS BIGINT) AS log_index,
+  '0xb2cc224c1c9feE385f8ad6a55b4d94E92359DC59' AS contract, 'Swap' AS event, {cols}
+FROM li"""
+
+
+M = """m AS (
+  SELECT 'r' || CAST(o_orderkey % 4 AS VARCHAR) AS run_id, (o_orderkey % 5000) * 100 AS from_block,
+    (o_orderkey % 5000) * 100 + o_custkey % 150 AS to_block,
+    CASE o_orderstatus WHEN 'F' THEN 'done' WHEN 'O' THEN 'failed' ELSE 'started' END AS status,
+    1 AS attempts, o_custkey AS logs, o_custkey - o_orderkey % 5 AS decoded, o_orderkey % 5 AS filtered,
+    1.7e9 + o_orderkey AS updated_at, o_orderkey AS seq
+  FROM orders)"""
+
+
+def islands(src: str) -> str:
+    """Gaps-and-islands merge of inclusive (from_block, to_block) rows of ``src``."""
+    return f"""(SELECT min(from_block) AS from_block, max(to_block) AS to_block FROM (
+  SELECT *, sum(CASE WHEN pmax IS NULL OR from_block > pmax + 1 THEN 1 ELSE 0 END)
+      OVER (ORDER BY from_block, to_block ROWS UNBOUNDED PRECEDING) AS isl
+  FROM (SELECT *, max(to_block) OVER (ORDER BY from_block, to_block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pmax
+        FROM ({src}))) GROUP BY isl)"""
+
+
+def gaps(src: str, lo: int, hi: int) -> str:
+    return f"""(SELECT * FROM (
+  SELECT lag(t) OVER (ORDER BY f, t) + 1 AS from_block, f - 1 AS to_block FROM (
+    SELECT greatest(from_block, {lo}) AS f, least(to_block, {hi}) AS t FROM {islands(src)}
+    WHERE to_block >= {lo} AND from_block <= {hi}
+    UNION ALL SELECT {lo - 1}, {lo - 1} UNION ALL SELECT {hi + 1}, {hi + 1}))
+  WHERE from_block IS NOT NULL AND from_block <= to_block)"""
+
+
+def chunks(src: str, step: int) -> str:
+    return f"""(SELECT x AS from_block, least(e, x + {step - 1}) AS to_block FROM (
+  SELECT unnest(generate_series(from_block, to_block, {step})) AS x, to_block AS e FROM ({src}) WHERE from_block <= to_block))"""
+
+
+DONE = "SELECT from_block, to_block FROM m WHERE status = 'done'"
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["decode_clpool"] = f"WITH {A} {clpool_rows()}"
@@ -145,4 +205,45 @@ FROM a GROUP BY 1"""
   'bad_hex' AS filter_reason FROM a WHERE kind <> 'none'"""
     q["rows_per_event"] = f"""WITH {A} SELECT event, count(*) AS rows FROM ({builtin_rows()}) GROUP BY event"""
     q["union_dynamic"] = f"""WITH {A}, {ORDERS} SELECT * FROM ({clpool_rows()}) UNION ALL BY NAME SELECT * FROM ({gauge_rows()})"""
+    q["decode_abi_registry"] = f"WITH {LI} {swap_rows('reference')}"
+    q["decode_abi_signed"] = f"WITH {LI} {swap_rows('abi')}"
+    q["sorted_swaps"] = (f"WITH {LI} SELECT block_number, block_timestamp, log_index, tx_hash, amount0, amount1, tick "
+                         f"FROM ({swap_rows('reference')})")
+    q["merge_coverage"] = f"WITH {M} SELECT * FROM {islands(DONE)}"
+    q["uncovered_ranges"] = f"WITH {M} SELECT * FROM {gaps(DONE, 50, 480000)}"
+    q["coverage_gaps"] = f"""WITH {M} SELECT CAST(50 AS BIGINT) AS requested_from, CAST(480000 AS BIGINT) AS requested_to,
+  count(*) AS gaps, CAST(coalesce(sum(to_block - from_block + 1), 0) AS BIGINT) AS gap_blocks,
+  CAST(480000 - 50 + 1 - coalesce(sum(to_block - from_block + 1), 0) AS BIGINT) AS covered_blocks
+FROM {gaps(DONE, 50, 480000)}"""
+    q["work_seeds"] = f"WITH {M} SELECT * FROM {chunks('SELECT * FROM ' + gaps(DONE, 50, 480000), 777)}"
+    q["chunk_ranges"] = f"WITH {M} SELECT * FROM {chunks('SELECT from_block, to_block FROM m', 7)}"
+    bounds = "SELECT min(from_block) AS from_block, max(to_block) AS to_block FROM m"
+    q["raw_chunk_grid"] = f"WITH {M} SELECT * FROM {chunks(bounds, 1000)}"
+    latest = "(SELECT from_block, to_block, arg_max(status, updated_at) AS status, arg_max(logs, updated_at) AS logs FROM m GROUP BY 1, 2)"
+    for name, skip in (("pending_chunks", "('done', 'failed')"), ("pending_chunks_rerun", "('done')")):
+        q[name] = f"""WITH {M} SELECT g.* FROM {chunks(bounds, 100)} g
+WHERE NOT EXISTS (SELECT 1 FROM {latest} l WHERE l.from_block = g.from_block AND l.to_block = g.to_block AND l.status IN {skip})"""
+    q["bisect_failed"] = f"""WITH {M}, f AS (SELECT from_block AS s, to_block AS e, (from_block + to_block) // 2 AS mid FROM m
+  WHERE status = 'failed' AND attempts < 3 AND from_block <= to_block)
+SELECT s AS parent_from, e AS parent_to, s AS from_block, e AS to_block FROM f WHERE s = e
+UNION ALL SELECT s, e, s, mid FROM f WHERE s < e
+UNION ALL SELECT s, e, mid + 1, e FROM f WHERE s < e"""
+    q["run_stats"] = f"""WITH {M} SELECT count(*) FILTER (WHERE status = 'done') AS processed_ok,
+  count(*) FILTER (WHERE status = 'failed') AS processed_failed,
+  count(*) FILTER (WHERE status IN ('done', 'failed')) AS executed_subranges,
+  CAST(coalesce(sum(logs) FILTER (WHERE status = 'done'), 0) AS BIGINT) AS total_logs,
+  CAST(coalesce(sum(decoded) FILTER (WHERE status = 'done'), 0) AS BIGINT) AS total_decoded,
+  CAST(coalesce(sum(filtered) FILTER (WHERE status = 'done'), 0) AS BIGINT) AS total_filtered,
+  CAST(0 AS BIGINT) AS shards_written FROM m"""
+    q["raw_fetch_summary"] = f"""WITH {M} SELECT status, count(*) AS chunks, CAST(sum(logs) AS BIGINT) AS logs FROM {latest} GROUP BY status"""
+    q["manifest_done"] = f"""WITH {M}, cut AS (SELECT run_id, min(seq) AS c FROM m WHERE seq % 97 = 0 GROUP BY run_id)
+SELECT from_block, to_block FROM m LEFT JOIN cut USING (run_id)
+WHERE status = 'done' AND seq % 97 <> 0 AND (c IS NULL OR seq < c)"""
+    evc = f"""c AS {chunks('SELECT min(block_number) AS from_block, max(block_number) AS to_block FROM a', 50)}"""
+    q["logs_per_chunk"] = f"""WITH {A}, {evc} SELECT c.from_block AS chunk_from, c.to_block AS chunk_to, {KEYS}
+FROM a JOIN c ON a.block_number BETWEEN c.from_block AND c.to_block"""
+    q["chunk_stats"] = f"""WITH {A}, {evc} SELECT c.from_block, c.to_block, count(a.event_id) AS logs,
+  count(a.event_id) FILTER (WHERE ({A_REASON}) IS NULL) AS decoded,
+  count(a.event_id) FILTER (WHERE ({A_REASON}) IS NOT NULL) AS filtered
+FROM c LEFT JOIN a ON a.block_number BETWEEN c.from_block AND c.to_block GROUP BY 1, 2"""
     return q
