@@ -312,5 +312,138 @@ def q_chunk_stats(spark, sf):
     return M.chunk_stats(D.classify(a, R.builtin_registry()), chunks, bucket=50)
 
 
+# ---- sources ----------------------------------------------------------------
+
+def q_scan_logs_range(spark, sf):
+    from .sources.logs import read_logs
+
+    path = _lake_path(spark, sf, "events")
+    logs = read_logs(spark, path, address=X.ADDRESSES[0], topic0s=[R.MINT_T0, R.BURN_T0],
+                     from_block=1000100, to_block=1000600)
+    return logs.select("address", "topic0", "block_number", "tx_hash", "log_index")
+
+
+def q_resolve_range(spark, sf):
+    from .sources.logs import resolve_range
+
+    return resolve_range(lake(spark, sf, "events"), "earliest", "latest")
+
+
+def q_normalize_raw(spark, sf):
+    from .sources.logs import normalize_raw, read_rpc_json
+
+    path = scratch_path(spark, "rpc-json")
+    X.raw_json_events(spark, sf).write.text(path)
+    n = normalize_raw(read_rpc_json(spark, path))
+    return n.select("address", "topic0", F.size("topics").cast("long").alias("n_topics"), "block_number",
+                    "block_timestamp", "tx_hash", "log_index")
+
+
+def q_shards_scan(spark, sf):
+    """Shards of two registries (different column sets) in one directory, read with the union schema."""
+    from .sinks.shards import read_shards, write_shards
+
+    path = scratch_path(spark, "shards-mixed")
+    write_shards(D.decode(lake(spark, sf, "events"), R.clpool_registry()), path, 1000)
+    write_shards(D.decode(lake(spark, sf, "orders"), R.gauge_registry()), path, 1000)
+    return read_shards(spark, path)
+
+
+# ---- sinks ------------------------------------------------------------------
+
+def _lake_path(spark, sf, name):
+    lake(spark, sf, name)
+    return _LAKE[(spark.sparkContext.applicationId, sf, name)]
+
+
+def q_write_shards(spark, sf):
+    from .sinks.shards import read_shards, write_shards
+
+    path = scratch_path(spark, "shards")
+    write_shards(D.decode(lake(spark, sf, "events"), R.clpool_registry()), path, rows_per_shard=500)
+    return read_shards(spark, path)
+
+
+def q_write_per_event(spark, sf):
+    from .sinks.shards import write_per_event
+
+    path = scratch_path(spark, "per-event")
+    write_per_event(D.decode(lake(spark, sf, "events"), R.builtin_registry()), path, rows_per_shard=500)
+    return spark.read.parquet(path).where(F.col("event").isin("Mint", "Deposit"))
+
+
+def q_shards_per_event(spark, sf):
+    from .sinks.shards import write_per_event
+
+    path = scratch_path(spark, "per-event")
+    write_per_event(D.decode(lake(spark, sf, "events"), R.builtin_registry()), path, rows_per_shard=500)
+    files = spark.read.parquet(path).select("event", F.col("_metadata.file_path").alias("f"))
+    return files.groupBy("event").agg(F.count_distinct("f").alias("files"))
+
+
+def q_raw_dump(spark, sf):
+    """Undecoded logs written per chunk (only non-empty chunks get a directory)."""
+    from .operators import manifest as M
+
+    a, chunks = _events_chunks(spark, sf)
+    path = scratch_path(spark, "raw-dump")
+    j = M.assign_chunks(a, chunks, bucket=50).drop("chunk_to")
+    j.write.partitionBy("chunk_from").option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path).select("chunk_from", "block_number", "tx_hash", "log_index")
+
+
+def q_compact_tail(spark, sf):
+    """Two runs into one shard directory; the under-full tail of run 1 is topped up by run 2."""
+    from .sinks.shards import compact_tail, read_shards
+
+    a = lake(spark, sf, "events")
+    mid = a.agg(F.percentile_approx("block_number", 0.5).alias("m")).collect()[0]["m"]
+    path = scratch_path(spark, "compact")
+    reg = R.clpool_registry()
+    compact_tail(spark, path, D.decode(a.where(F.col("block_number") <= mid), reg), 700)
+    compact_tail(spark, path, D.decode(a.where(F.col("block_number") > mid), reg), 700)
+    return read_shards(spark, path)
+
+
+def q_shard_assignment(spark, sf):
+    from .sinks.shards import assign_shards
+
+    d = D.classify(lake(spark, sf, "events"), R.builtin_registry()).select("block_number", "tx_hash", "log_index")
+    return assign_shards(d, 250).select("block_number", "tx_hash", "log_index", "shard_id")
+
+
+def q_full_shards_only(spark, sf):
+    from .sinks.shards import full_shards_only
+
+    d = D.classify(lake(spark, sf, "events"), R.builtin_registry()).select("block_number", "tx_hash", "log_index")
+    full, _pending = full_shards_only(d, 250)
+    return full.select("block_number", "tx_hash", "log_index", "shard_id")
+
+
+def q_manifest_write(spark, sf):
+    from .operators import manifest as M
+    from .sinks.manifest import append_manifest, manifest_records
+    from .sources.manifest import scan_manifest
+
+    a, chunks = _events_chunks(spark, sf)
+    stats = M.chunk_stats(D.classify(a, R.builtin_registry()), chunks, bucket=50)
+    path = scratch_path(spark, "manifest")
+    append_manifest(manifest_records(stats, "run-1"), path)
+    rec = scan_manifest(spark, path, pattern="*.json")
+    return rec.select("run_id", "from_block", "to_block", "status", "attempts", "logs", "decoded", "filtered")
+
+
+def q_dataset_key(spark, sf):
+    from .sinks.layout import dataset_keys
+
+    return dataset_keys(lake(spark, sf, "events"))
+
+
+def q_topics_fingerprint(spark, sf):
+    from .sinks.layout import topics_fingerprint
+
+    return topics_fingerprint(lake(spark, sf, "events"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}

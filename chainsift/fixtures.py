@@ -50,8 +50,9 @@ def tx_of(key: Column) -> Column:
     return F.concat(F.lit("0x"), F.sha2(key.cast("string"), 256))
 
 
-def _raw(df: DataFrame) -> DataFrame:
+def _raw(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(
+        *extra,
         "address",
         F.get(F.col("topics"), 0).alias("topic0"),
         "topics",
@@ -68,7 +69,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_logs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_logs_events(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
     """Fixture A: clpool Mint/Burn, nfpm IncreaseLiquidity, gauge Deposit and one kind per filter rule."""
     ev = _table(spark, sf_dir, "events")
     eid, uid = F.col("event_id"), F.col("user_id")
@@ -111,8 +112,9 @@ def raw_logs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         epoch_seconds(F.col("ts")).alias("block_timestamp"),
         tx_of(eid).alias("tx_hash"),
         (eid % 10).alias("log_index"),
+        eid.alias("event_id"),
     )
-    return _raw(out)
+    return _raw(out, "event_id") if keep_id else _raw(out)
 
 
 def swap_price(li: DataFrame) -> Column:
@@ -224,3 +226,34 @@ def manifest_lines(manifest: DataFrame) -> DataFrame:
     body = F.to_json(F.struct(*[c for c in manifest.columns if c not in ("seq",)]))
     line = F.when(F.col("seq") % 97 == 0, F.lit('{"bad')).otherwise(body)
     return manifest.select("run_id", "seq", line.alias("value"))
+
+
+def raw_json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture A as JSON-RPC log objects (one JSON text per row).
+
+    hex ``blockNumber``/``logIndex``; ``blockTimestamp`` hex / decimal / absent by
+    ``event_id % 3``; upper-case address; ``transaction_hash`` spelling when
+    ``event_id % 5 = 0``.
+    """
+    a = raw_logs_events(spark, sf_dir, keep_id=True)
+    eid = F.col("event_id")
+    hx = lambda c: F.concat(F.lit("0x"), F.lower(F.hex(c)))
+    base = F.to_json(
+        F.struct(
+            F.upper("address").alias("address"),
+            F.col("topics").alias("topics"),
+            F.col("data").alias("data"),
+            hx(F.col("block_number")).alias("blockNumber"),
+            hx(F.col("log_index")).alias("logIndex"),
+            F.when(eid % 5 != 0, F.col("tx_hash")).alias("transactionHash"),
+            F.when(eid % 5 == 0, F.col("tx_hash")).alias("transaction_hash"),
+        )
+    )
+    ts = (
+        F.when(eid % 3 == 0, F.concat(F.lit('"'), hx(F.col("block_timestamp")), F.lit('"')))
+        .when(eid % 3 == 1, F.col("block_timestamp").cast("string"))
+    )
+    text = F.when(ts.isNull(), base).otherwise(
+        F.concat(F.regexp_replace(base, "}$", ""), F.lit(',"blockTimestamp":'), ts, F.lit("}"))
+    )
+    return a.select(text.alias("value"))

@@ -53,6 +53,21 @@ A_REASON = """CASE WHEN kind = 'none' THEN 'no_topics'
   ELSE NULL END"""
 
 KEYS = "block_number, tx_hash, log_index"
+
+# topic0 literals of the fixture kinds (same constants as the registries).
+_T0 = {
+    "Mint": "0x7a53080ba414158be7ec69b987b5fb7d07dee101fe85488f0853ae16239d0bde",
+    "Burn": "0x0c396cd989a39f4459b5fa1aed6a9a8dcdbc45908acfd67e028cd568da98982c",
+    "IncreaseLiquidity": "0x3067048beee31b25b2f1681f88dac838c8bba36af25bfb2b7cf7473a5847e35f",
+    "Deposit": "0x1c8ab8c7f45390d58f58f1d655213a82cca5d12179761a87c16f098813b8f211",
+}
+T0_OF_KIND = ("CASE WHEN kind IN ('Mint', 'missing') THEN '{Mint}' WHEN kind IN ('Burn', 'short') THEN '{Burn}' "
+              "WHEN kind = 'IncreaseLiquidity' THEN '{IncreaseLiquidity}' WHEN kind = 'Deposit' THEN '{Deposit}' "
+              "WHEN kind = 'unknown' THEN '0x" + "ab" * 32 + "' END").format(**_T0)
+NTOP_OF_KIND = ("CASE kind WHEN 'none' THEN 0 WHEN 'unknown' THEN 1 WHEN 'missing' THEN 2 "
+                "WHEN 'IncreaseLiquidity' THEN 2 ELSE 4 END")
+ADDR_LC = ("CASE user_id % 3 WHEN 0 THEN '0xd8da6bf26964af9d7eed9e03e53415d37aa96045' "
+           "WHEN 1 THEN '0xb2cc224c1c9fee385f8ad6a55b4d94e92359dc59' ELSE '0x88e6a0c2ddd26feeb64f039a2c41296fcb3f5640' END")
 BASE = "block_number, block_timestamp, tx_hash, log_index, contract"
 
 
@@ -246,4 +261,28 @@ FROM a JOIN c ON a.block_number BETWEEN c.from_block AND c.to_block"""
   count(a.event_id) FILTER (WHERE ({A_REASON}) IS NULL) AS decoded,
   count(a.event_id) FILTER (WHERE ({A_REASON}) IS NOT NULL) AS filtered
 FROM c LEFT JOIN a ON a.block_number BETWEEN c.from_block AND c.to_block GROUP BY 1, 2"""
+    q["scan_logs_range"] = f"""WITH {A} SELECT {ADDR_LC} AS address, {T0_OF_KIND} AS topic0, {KEYS} FROM a
+WHERE user_id % 3 = 0 AND kind IN ('Mint', 'missing', 'Burn', 'short') AND block_number BETWEEN 1000100 AND 1000600"""
+    q["resolve_range"] = f"WITH {A} SELECT CAST(0 AS BIGINT) AS start_block, max(block_number) AS end_block FROM a"
+    q["normalize_raw"] = f"""WITH {A} SELECT {ADDR_LC} AS address, {T0_OF_KIND} AS topic0, CAST({NTOP_OF_KIND} AS BIGINT) AS n_topics,
+  block_number, CASE WHEN event_id % 3 = 2 THEN NULL ELSE block_timestamp END AS block_timestamp, tx_hash, log_index FROM a"""
+    q["shards_scan"] = q["union_dynamic"]
+    q["write_shards"] = q["decode_clpool"]
+    q["compact_tail"] = q["decode_clpool"]
+    q["write_per_event"] = f"WITH {A} SELECT * FROM ({builtin_rows()}) WHERE event IN ('Mint', 'Deposit')"
+    q["raw_dump"] = f"""WITH {A}, mn AS (SELECT min(block_number) AS m FROM a)
+SELECT m + ((block_number - m) // 50) * 50 AS chunk_from, {KEYS} FROM a, mn"""
+    ranked = f"(SELECT {KEYS}, row_number() OVER (ORDER BY block_number, tx_hash, log_index) - 1 AS rn FROM a)"
+    q["shard_assignment"] = f"WITH {A} SELECT {KEYS}, rn // 250 AS shard_id FROM {ranked}"
+    q["full_shards_only"] = f"""WITH {A} SELECT {KEYS}, rn // 250 AS shard_id FROM {ranked}
+WHERE rn < ((SELECT count(*) FROM a) // 250) * 250"""
+    q["manifest_write"] = f"""WITH {A}, {evc} SELECT 'run-1' AS run_id, c.from_block, c.to_block, 'done' AS status,
+  CAST(1 AS INTEGER) AS attempts, count(a.event_id) AS logs,
+  count(a.event_id) FILTER (WHERE ({A_REASON}) IS NULL) AS decoded,
+  count(a.event_id) FILTER (WHERE ({A_REASON}) IS NOT NULL) AS filtered
+FROM c LEFT JOIN a ON a.block_number BETWEEN c.from_block AND c.to_block GROUP BY 2, 3"""
+    fp = (f"array_to_string(list_transform(list_sort(list(DISTINCT {T0_OF_KIND}) FILTER (WHERE {T0_OF_KIND} IS NOT NULL)), "
+          "lambda x: substr(x, 1, 10)), 'x')")
+    q["topics_fingerprint"] = f"WITH {A} SELECT {ADDR_LC} AS address, {fp} AS fingerprint FROM a GROUP BY 1"
+    q["dataset_key"] = f"WITH {A} SELECT {ADDR_LC} AS address, {ADDR_LC} || '__topics-' || {fp} AS dataset_key FROM a GROUP BY 1"
     return q
