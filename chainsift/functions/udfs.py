@@ -44,20 +44,24 @@ def _to_decimal(body: str | None, mode) -> str | None:
 
 @pandas_udf(StringType())
 def wide_int_to_decimal(bodies: pd.Series, modes: pd.Series) -> pd.Series:
-    vals = bodies.tolist()
-    ms = modes.tolist()
-    return pd.Series([_to_decimal(b, m) for b, m in zip(vals, ms)], dtype=object)
+    out = pd.Series(None, index=bodies.index, dtype=object)
+    present = bodies.notna().to_numpy().nonzero()[0]
+    if len(present):  # the JVM fast paths leave most rows null: touch only the rest
+        b = bodies.to_numpy()[present]
+        m = modes.to_numpy()[present]
+        out.iloc[present] = [_to_decimal(x, y) for x, y in zip(b, m)]
+    return out
 
 
 @pandas_udf(StringType())
 def checksum_address(addresses: pd.Series) -> pd.Series:
-    vals = addresses.tolist()
-    missing = [a for a in dict.fromkeys(vals) if a is not None and a not in _CHECKSUM_CACHE]
+    uniq = pd.unique(addresses.dropna())
+    missing = [a for a in uniq if a not in _CHECKSUM_CACHE]
     if missing:
         if len(_CHECKSUM_CACHE) > _CACHE_LIMIT:
             _CHECKSUM_CACHE.clear()
         _CHECKSUM_CACHE.update(zip(missing, checksum_many(missing)))
-    return pd.Series([None if a is None else _CHECKSUM_CACHE.get(a) for a in vals], dtype=object)
+    return addresses.map({a: _CHECKSUM_CACHE.get(a) for a in uniq}).astype(object)
 
 
 @pandas_udf(StringType())

@@ -1,7 +1,7 @@
 """Column expressions over ABI hex text (no row-at-a-time Python).
 
 Log payloads stay lower-case hex *text*: a 32-byte word is a 64-character
-substring, zero tests are ``translate`` calls, addresses are substrings.  Only
+substring, zero tests compare against literal runs of zeros, addresses are substrings.  Only
 integers wider than the JVM fast paths below reach the Arrow UDF in
 :mod:`chainsift.functions.udfs`.
 """
@@ -22,8 +22,12 @@ def strip_0x(c: Column) -> Column:
 
 
 def is_hex(h: Column, allow_empty: bool = True, even: bool = True) -> Column:
-    """``h`` (already lower-case) is made of hex digits (even length when ``even``)."""
-    ok = F.translate(h, HEX_DIGITS, "") == ""
+    """``h`` is made of hex digits (even length when ``even``).
+
+    ``unhex`` decodes without per-character allocation and yields null on any
+    non-hex character (``translate`` would allocate a String per character).
+    """
+    ok = F.unhex(h).isNotNull()
     if even:
         ok = ok & (F.length(h) % 2 == 0)
     if not allow_empty:
@@ -52,9 +56,18 @@ def runs(indices) -> list[tuple[int, int]]:
     return [(a, n) for a, n in out]
 
 
-def is_zero_hex(w: Column) -> Column:
-    """True when every hex digit is 0 (an empty / missing word counts as zero)."""
-    return F.translate(F.coalesce(w, F.lit("")), "0", "") == ""
+def is_zero_hex(w: Column, width: int = WORD) -> Column:
+    """True when every hex digit of ``w`` (at most ``width`` digits) is 0; empty counts as zero.
+
+    Compared against a literal run of zeros of the same length (a memcmp).
+    """
+    w = F.coalesce(w, F.lit(""))
+    return w == F.substring(F.lit("0" * width), F.lit(1), F.length(w))
+
+
+def has_zero_prefix(w: Column, n: int) -> Column:
+    """The first ``n`` digits of a 64-digit word are all zero."""
+    return F.substring(w, 1, n) == F.lit("0" * n)
 
 
 def address_from_word(w: Column) -> Column:
@@ -90,22 +103,23 @@ def _u60(h: Column) -> Column:
     return F.conv(h, 16, 10).cast("long")
 
 
-def _u124_string(body64: Column) -> Column:
-    """Decimal text of a 64-digit word whose value is below 2**124 (two limbs, exact decimal(38,0))."""
-    hi = F.conv(F.substring(body64, 34, 15), 16, 10).cast("decimal(38,0)")
-    lo = F.conv(F.substring(body64, 49, 16), 16, 10).cast("decimal(38,0)")
-    two64 = F.lit("18446744073709551616").cast("decimal(38,0)")
-    return (hi * two64 + lo).cast("decimal(38,0)").cast("string")
-
-
-_Q19, _R19 = divmod(1 << 256, 10**19)
+_Q18, _R18 = divmod(1 << 256, 10**18)
+_E18 = 10**18
 
 
 def _two256_minus(m: Column) -> Column:
-    """Decimal text of ``2^256 - m`` for a long ``0 < m <= 2^62`` (split at 10^19, no wide arithmetic)."""
-    low_ok = F.lpad((F.lit(_R19) - m).cast("string"), 19, "0")
-    low_borrow = F.lpad((F.lit(str(10**19 + _R19)).cast("decimal(20,0)") - m).cast("decimal(20,0)").cast("string"), 19, "0")
-    return F.when(m <= F.lit(_R19), F.concat(F.lit(str(_Q19)), low_ok)).otherwise(F.concat(F.lit(str(_Q19 - 1)), low_borrow))
+    """Decimal text of ``2^256 - m`` for a long ``0 < m <= 2^62``, in long arithmetic only.
+
+    With 2^256 = Q*10^18 + R and m = mh*10^18 + ml (mh <= 4): the low 18 digits are
+    ``R - ml`` (or ``R + 10^18 - ml`` with a borrow) and the high part is one of the
+    few literals ``Q - mh - borrow``.
+    """
+    ml = m % F.lit(_E18)
+    mh = ((m - ml) / F.lit(_E18)).cast("long")  # exact: m - ml is a multiple of 10^18 below 2^63
+    borrow = F.when(ml > F.lit(_R18), F.lit(1)).otherwise(F.lit(0))
+    low = F.lit(_R18) + borrow * F.lit(_E18) - ml
+    highs = F.array(*[F.lit(str(_Q18 - k)) for k in range(6)])
+    return F.concat(F.element_at(highs, (mh + borrow + 1).cast("int")), F.lpad(low.cast("string"), 18, "0"))
 
 
 def _near_top(body: Column) -> tuple[Column, Column]:
@@ -114,7 +128,7 @@ def _near_top(body: Column) -> tuple[Column, Column]:
     return cond, F.lit(1 << 60) - _u60(F.substring(body, 50, 15))
 
 
-def decimal_plan(body: Column, mode: int, fixed_width: bool) -> tuple[Column, Column]:
+def decimal_plan(body: Column, mode: int, fixed_width: bool) -> tuple[Column, Column | None]:
     """JVM fast path for an integer in hex text, and the input left for the Arrow UDF.
 
     ``mode``: 0 unsigned; +N signed ``intN`` with the reference rule (``v >= 2^(N-1)``
@@ -124,26 +138,27 @@ def decimal_plan(body: Column, mode: int, fixed_width: bool) -> tuple[Column, Co
 
     Returns ``(fast, slow)``: ``fast`` is the decimal string when the value is
     handled JVM-side (else null); ``slow`` is ``body`` when the UDF must convert it
-    (else null), so the UDF only sees the few wide values.
+    (else null; None when the JVM path is exhaustive), so the UDF only sees the
+    few wide values.
     """
-    sig = F.length(significant(body))
+    if not fixed_width:
+        # topics: left-pad to one word; longer (malformed) topics take the UDF path
+        raw = body
+        body = F.when(F.length(raw) <= 64, F.lpad(raw, 64, "0"))
     top, dist = _near_top(body)
     if mode == 0:
-        fits64 = sig <= 16
-        if fixed_width:
-            fits124 = sig <= 31
-            fast = F.when(fits64, F.conv(F.substring(body, 49, 16), 16, 10)).when(fits124, _u124_string(body))
-            fast = fast.when(top, _two256_minus(dist))
-            return fast, F.when(~fits124 & ~top, body)
-        fast = F.when(fits64, F.conv(body, 16, 10)).when(top, _two256_minus(dist))
-        return fast, F.when(~fits64 & ~top, body)
+        fits64 = has_zero_prefix(body, 48)
+        fast = F.when(fits64, F.conv(F.substring(body, 49, 16), 16, 10)).when(top, _two256_minus(dist))
+        handled = fits64 | top
+        slow_in = body if fixed_width else raw
+        return fast, F.when(~F.coalesce(handled, F.lit(False)), slow_in)
     n = abs(mode)
     if mode < 0 and n <= 60:
         # ABI rule, narrow type: only the low N bits matter.
         low = _u60(F.right(body, F.lit((n + 3) // 4))).bitwiseAND(F.lit((1 << n) - 1))
         val = F.when(low >= F.lit(1 << (n - 1)), low - F.lit(1 << n)).otherwise(low)
-        return val.cast("string"), F.lit(None).cast("string")
-    small = sig <= 15  # value < 2^60
+        return val.cast("string"), None
+    small = has_zero_prefix(body, 49)  # value < 2^60
     v = _u60(F.right(body, F.lit(15)))
     if n <= 60:
         fast = F.when(small, F.when(v >= F.lit(1 << (n - 1)), v - F.lit(1 << n)).otherwise(v).cast("string"))
@@ -154,12 +169,13 @@ def decimal_plan(body: Column, mode: int, fixed_width: bool) -> tuple[Column, Co
         # reference rule on a sign-extended narrow negative: 2^256 - (dist + 2^N)
         fast = fast.when(top, _two256_minus(dist + F.lit(1 << n)))
         handled = handled | top
-    if fixed_width and (n == 256 or mode < 0):
+    if n == 256 or mode < 0:
         # sign-extended small negative: 49 leading f's, value = low60 - 2^60
         neg = F.substring(body, 1, 49) == F.lit("f" * 49)
         fast = fast.when(neg, (_u60(F.substring(body, 50, 15)) - F.lit(1 << 60)).cast("string"))
         handled = handled | neg
-    return fast, F.when(~handled, body)
+    slow_in = body if fixed_width else raw
+    return fast, F.when(~F.coalesce(handled, F.lit(False)), slow_in)
 
 
 def zero_value_test(w: Column, typ: str, semantics: str) -> Column | None:

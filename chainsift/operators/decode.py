@@ -32,18 +32,32 @@ FILTER_REASONS = ("no_topics", "unknown_topic", "fast_zero", "missing_topic", "s
 ERROR_REASONS = ("null_block", "bad_hex", "bad_topic", "bad_zero_field", "bad_address")
 
 _REASON = "filter_reason"
-
-# Every check is written against the raw columns (no helper columns): Catalyst
-# pushes the reason filter below any projection by inlining, so intermediate
-# aliases would be re-expanded at each use.  Each use is therefore kept tiny:
-# ``data`` is read as 0x-prefixed hex (the raw_logs contract; sources normalise
-# it), a word is one ``substring`` of ``lower(data)``, consecutive words are
-# tested with one ``translate``, and spec dispatch compares topic0 to literals.
+# Above this many integer projections (event x column) the conversions are computed
+# behind a generator: inlined into every CASE branch they would exceed the JVM's
+# 64 KB method limit and lose whole-stage codegen.
+BARRIER_MIN_INT_PROJECTIONS = 16
+
+# The normalised topic0 / payload / topic count are computed once per row and
+# exposed through a one-row ``inline`` generator.  Catalyst pushes filters below
+# projections by inlining aliases, so plain helper columns would be re-evaluated
+# at every use inside the (large) reason expression; a predicate on generator
+# output cannot be pushed below the generator, so these stay computed once.
+_T0, _HEXC, _NTOPC = "__t0", "__hex", "__ntop"
+_PREP = (_T0, _HEXC, _NTOPC)
+
+
+def _prepare(logs: DataFrame) -> DataFrame:
+    st = F.struct(
+        F.lower(F.get(F.col("topics"), 0)).alias(_T0),
+        F.lower(F.coalesce(F.col("data"), F.lit("0x"))).alias(_HEXC),
+        F.coalesce(F.size("topics"), F.lit(0)).alias(_NTOPC),
+    )
+    return logs.select("*", F.inline(F.array(st)))
 
 
 def _hex() -> Column:
     """Lower-cased ``data`` (still carrying its ``0x``)."""
-    return F.lower(F.coalesce(F.col("data"), F.lit("0x")))
+    return F.col(_HEXC)
 
 
 def _word(i: int) -> Column:
@@ -55,7 +69,7 @@ def _payload_len() -> Column:
 
 
 def _ntop() -> Column:
-    return F.coalesce(F.size("topics"), F.lit(0))
+    return F.col(_NTOPC)
 
 
 def _topic(i: int) -> Column:
@@ -63,7 +77,7 @@ def _topic(i: int) -> Column:
 
 
 def _t0() -> Column:
-    return F.lower(_topic(0))
+    return F.col(_T0)
 
 
 def _is_spec(spec: EventSpec) -> Column:
@@ -77,7 +91,7 @@ def _spec_reason(spec: EventSpec, semantics: str) -> Column:
     if spec.fast_zero_words:
         fz = None
         for first, count in W.runs(spec.fast_zero_words):
-            z = W.is_zero_hex(W.words(h, first, count, prefixed=True))
+            z = W.is_zero_hex(W.words(h, first, count, prefixed=True), W.WORD * count)
             fz = z if fz is None else fz & z
         branches.append((fz, "fast_zero"))
     for f in spec.topic_fields:
@@ -119,8 +133,8 @@ def _reason(registry: Registry, semantics: str) -> Column:
         r = _spec_reason(s, semantics)
         per_spec = F.when(_is_spec(s), r) if per_spec is None else per_spec.when(_is_spec(s), r)
     known = _t0().isin(registry.topic0s()) if len(registry) else F.lit(False)
-    addr = F.lower(F.coalesce(F.col("address"), F.lit("")))
-    addr_ok = (F.length(addr) == 42) & (F.substring(addr, 1, 2) == "0x") & W.is_hex(F.substring(addr, 3, 40))
+    addr = F.coalesce(F.col("address"), F.lit(""))
+    addr_ok = (F.length(addr) == 42) & (F.lower(F.substring(addr, 1, 2)) == "0x") & W.is_hex(F.substring(addr, 3, 40))
     expr = (
         F.when(F.col("block_number").isNull(), F.lit("null_block"))
         .when(_ntop() == 0, F.lit("no_topics"))
@@ -135,7 +149,11 @@ def _reason(registry: Registry, semantics: str) -> Column:
 def classify(logs: DataFrame, registry: Registry, semantics: str = "reference") -> DataFrame:
     """``logs`` plus ``filter_reason`` (null = decodable) -- the filter stage alone."""
     _check_semantics(semantics)
-    return logs.withColumn(_REASON, _reason(registry, semantics))
+    # the reason is produced by a generator so that a later filter on it does not
+    # inline (and duplicate) the whole expression next to the projection
+    prep = _prepare(logs)
+    out = prep.select("*", F.inline(F.array(F.struct(_reason(registry, semantics).alias(_REASON)))))
+    return out.drop(*_PREP)
 
 
 def _field_value(spec: EventSpec, out: str, semantics: str):
@@ -166,26 +184,58 @@ def _field_value(spec: EventSpec, out: str, semantics: str):
     return ("str", F.concat(F.lit("0x"), w))
 
 
-def _output_column(registry: Registry, out: str, semantics: str) -> Column:
-    fast = slow_body = slow_mode = None
+class _Conversions:
+    """Distinct integer conversions of a registry, each computed once per row."""
+
+    def __init__(self):
+        self.keys: dict[tuple, str] = {}
+        self.plans: dict[str, tuple[Column, Column | None, int]] = {}
+        self.users: dict[str, list[str]] = {}
+
+    def ref(self, key: tuple, body: Column, mode: int, fixed: bool, topic0: str) -> Column:
+        if key not in self.keys:
+            name = f"__v{len(self.keys)}"
+            self.keys[key] = name
+            f_expr, s_expr = W.decimal_plan(body, mode, fixed)
+            self.plans[name] = (f_expr, s_expr, mode)
+            self.users[name] = []
+        name = self.keys[key]
+        if topic0 not in self.users[name]:
+            self.users[name].append(topic0)
+        return F.col(name)
+
+    def _gate(self, name: str, c: Column) -> Column:
+        """Evaluate a conversion only on rows of the events that use it."""
+        return F.when(_t0().isin(self.users[name]), c)
+
+    @property
+    def fast(self) -> dict[str, Column]:
+        return {n: self._gate(n, f) for n, (f, _, _) in self.plans.items()}
+
+    @property
+    def slow(self) -> dict[str, tuple[Column | None, int]]:
+        return {n: (None if s is None else self._gate(n, s), m) for n, (_, s, m) in self.plans.items()}
+
+
+def _value(spec: EventSpec, out: str, semantics: str, conv: _Conversions) -> Column:
+    v = _field_value(spec, out, semantics)
+    if v[0] == "str":
+        return v[1]
+    _, body, mode, fixed = v
+    ref = dict(spec.projection)[out]
+    f = spec.topic_field(ref.value) if ref.kind == "topic" else spec.data_field(ref.value)
+    idx = f.index if ref.kind == "topic" else f.word_index
+    return conv.ref((ref.kind, idx, mode), body, mode, fixed, spec.topic0)
+
+
+def _output_column(registry: Registry, out: str, semantics: str, conv: _Conversions) -> Column:
+    expr = None
     for s in registry:
         if out not in dict(s.projection):
             continue
-        v = _field_value(s, out, semantics)
-        cond = _is_spec(s)
-        if v[0] == "str":
-            f_expr = v[1]
-        else:
-            _, body, mode, fixed = v
-            f_expr, s_expr = W.decimal_plan(body, mode, fixed)
-            slow_body = F.when(cond, s_expr) if slow_body is None else slow_body.when(cond, s_expr)
-            slow_mode = F.when(cond, F.lit(mode)) if slow_mode is None else slow_mode.when(cond, F.lit(mode))
-        fast = F.when(cond, f_expr) if fast is None else fast.when(cond, f_expr)
-    if fast is None:
-        return F.lit(None).cast("string")
-    if slow_body is None:
-        return fast
-    return F.coalesce(fast, wide_int_to_decimal(slow_body, slow_mode))
+        v = _value(s, out, semantics, conv)
+        expr = F.when(_is_spec(s), v) if expr is None else expr.when(_is_spec(s), v)
+    return expr if expr is not None else F.lit(None).cast("string")
 
 
 def _check_semantics(semantics: str) -> None:
@@ -225,7 +275,7 @@ def decode(
         raise ValueError("on_error must be 'quarantine' or 'fail'")
     logs, registry = restrict(logs, registry, events)
     outs = registry.output_columns()
-    df = logs.withColumn(_REASON, _reason(registry, semantics))
+    df = _prepare(logs).withColumn(_REASON, _reason(registry, semantics))
     if on_error == "fail":
         failing = F.col(_REASON).isin(*ERROR_REASONS)
         df = df.where(
@@ -239,6 +289,23 @@ def decode(
     names = None
     for s in registry:
         names = F.when(_is_spec(s), F.lit(s.name)) if names is None else names.when(_is_spec(s), F.lit(s.name))
+    conv = _Conversions()
+    values = [_output_column(registry, o, semantics, conv).alias(o) for o in outs]
+    # stage 1: each distinct conversion once (JVM fast path + leftover input for the UDF)
+    keep = ["block_number", "block_timestamp", "tx_hash", "log_index", "address", "topics", *_PREP]
+    keep += [_REASON] if keep_reason else []
+    # Behind a one-row generator each conversion is evaluated once; as plain aliases
+    # CollapseProject would inline them into every CASE branch that uses them.
+    fields = [c.alias(n) for n, c in conv.fast.items()]
+    fields += [sc.alias(n + "s") for n, (sc, _) in conv.slow.items() if sc is not None]
+    int_pairs = sum(1 for sp in registry for o, _ in sp.projection if _field_value(sp, o, semantics)[0] == "int")
+    if fields and int_pairs >= BARRIER_MIN_INT_PROJECTIONS:
+        staged = df.select(*keep, F.inline(F.array(F.struct(*fields))))
+    else:
+        staged = df.select(*keep, *fields)
+    wide = {n: F.coalesce(F.col(n), wide_int_to_decimal(F.col(n + "s"), F.lit(m)))
+            for n, (sc, m) in conv.slow.items() if sc is not None}
+    staged = staged.select(*keep, *[wide.get(n, F.col(n)).alias(n) for n in conv.fast])
     cols = [
         F.col("block_number").cast("long").alias("block_number"),
         F.coalesce(F.col("block_timestamp").cast("long"), F.lit(0).cast("long")).alias("block_timestamp"),
@@ -247,9 +314,9 @@ def decode(
         checksum_address(F.col("address")).alias("contract"),
         (names if names is not None else F.lit(None).cast("string")).alias("event"),
     ]
-    cols += [_output_column(registry, o, semantics).alias(o) for o in outs]
+    cols += values
     extra = [F.col(_REASON)] if keep_reason else []
-    return df.select(*cols, *extra)
+    return staged.select(*cols, *extra)
 
 
 def rejects(logs: DataFrame, registry: Registry, semantics: str = "reference", errors_only: bool = True) -> DataFrame:
