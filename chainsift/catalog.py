@@ -8,6 +8,7 @@ log lake has.  Every query runs over the whole table.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -445,5 +446,44 @@ def q_topics_fingerprint(spark, sf):
     return topics_fingerprint(lake(spark, sf, "events"))
 
 
+# ---- incremental pipeline / streaming ---------------------------------------
+
+def q_pipeline_run(spark, sf):
+    """Two incremental runs over the lake: the first lands [earliest, mid], the second
+    resumes from the journal and lands only the rest; the union is every row once."""
+    from .plans.pipeline import read_decoded, run
+
+    a = lake(spark, sf, "events")
+    b = a.agg(F.min("block_number").alias("lo"), F.percentile_approx("block_number", 0.5).alias("m")).collect()[0]
+    out = scratch_path(spark, "pipeline")
+    run(spark, a, R.clpool_registry(), out, int(b["lo"]), int(b["m"]), step=100)
+    run(spark, a, R.clpool_registry(), out, int(b["lo"]), "latest", step=100)
+    run(spark, a, R.clpool_registry(), out, int(b["lo"]), "latest", step=100)  # nothing left: no-op
+    return read_decoded(spark, os.path.join(out, "data")).drop("run_id")
+
+
+def q_pipeline_journal(spark, sf):
+    """Journal written by the pipeline, merged: one interval covering the whole lake."""
+    from .operators import ranges as G
+    from .plans.pipeline import run
+    from .sources.manifest import done_coverage
+
+    a = lake(spark, sf, "events")
+    lo = a.agg(F.min("block_number").alias("lo")).collect()[0]["lo"]
+    out = scratch_path(spark, "pipeline")
+    res = run(spark, a, R.clpool_registry(), out, int(lo), "latest", step=100)
+    return G.merge(done_coverage(spark, res.manifest_path, pattern="*.json"))
+
+
+def q_stream_decode(spark, sf):
+    """availableNow file stream over the lake, two files per micro-batch, decoded per batch."""
+    from .streaming.stream import stream_decode_files
+
+    out = scratch_path(spark, "stream")
+    data = stream_decode_files(spark, _lake_path(spark, sf, "events"), R.clpool_registry(), out,
+                               os.path.join(out, "_checkpoint"), max_files_per_trigger=2)
+    return spark.read.parquet(data).drop("batch_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}
