@@ -485,5 +485,34 @@ def q_stream_decode(spark, sf):
     return spark.read.parquet(data).drop("batch_id")
 
 
+# ---- node data source -------------------------------------------------------
+
+def _node_reader(spark, sf, fmt_reader):
+    from .sources.node import register
+
+    register(spark)
+    a = lake(spark, sf, "events")
+    lo = a.agg(F.min("block_number").alias("lo")).collect()[0]["lo"]
+    return (fmt_reader.format("evm_logs").option("transport", "chainsift.sources.node:LakeTransport")
+            .option("path", _lake_path(spark, sf, "events")).option("from_block", str(lo))
+            .option("step", "200")), lo
+
+
+def q_node_scan(spark, sf):
+    """Batch read through the ``evm_logs`` data source (one partition per 200 blocks), decoded."""
+    reader, _ = _node_reader(spark, sf, spark.read)
+    return D.decode(reader.option("to_block", "latest").load(), R.clpool_registry())
+
+
+def q_node_stream(spark, sf):
+    """Streaming read of the same source from its checkpointed block offset to the head."""
+    from .streaming.stream import stream_decode_source
+
+    reader, _ = _node_reader(spark, sf, spark.readStream)
+    out = scratch_path(spark, "node-stream")
+    data = stream_decode_source(spark, reader.load(), R.clpool_registry(), out, os.path.join(out, "_checkpoint"))
+    return spark.read.parquet(data).drop("batch_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}

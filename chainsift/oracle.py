@@ -287,5 +287,7 @@ FROM c LEFT JOIN a ON a.block_number BETWEEN c.from_block AND c.to_block GROUP B
     q["dataset_key"] = f"WITH {A} SELECT {ADDR_LC} AS address, {ADDR_LC} || '__topics-' || {fp} AS dataset_key FROM a GROUP BY 1"
     q["pipeline_run"] = q["decode_clpool"]
     q["stream_decode"] = q["decode_clpool"]
+    q["node_scan"] = q["decode_clpool"]
+    q["node_stream"] = q["decode_clpool"]
     q["pipeline_journal"] = f"WITH {A} SELECT min(block_number) AS from_block, max(block_number) AS to_block FROM a"
     return q
