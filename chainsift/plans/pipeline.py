@@ -10,8 +10,13 @@ One ``run``:
 5. write decoded rows under ``run_id=<id>`` (dynamic partition overwrite, so a
    retried run replaces its own output instead of duplicating it);
 6. only then append one ``done`` journal record per chunk (with per-event row
-   counts), so a crash before step 6 leaves the range uncovered and it is
-   simply recomputed by the next run -- idempotent and resumable.
+   counts), so a crash before step 6 leaves the range uncovered.
+
+Before step 5 the run journals one ``started`` record with its exact span and
+``run_id``.  A later run first replays every started-but-unfinished run with
+the same ``run_id`` and span, overwriting that run's partition -- so a crash
+between the data commit and the journal can never duplicate rows, even when
+``latest`` has moved in between.
 
 Everything is DataFrame work; only tiny planning values (range bounds, number of
 seeds) reach the driver.
@@ -57,6 +62,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _unfinished(spark: SparkSession, manifest_path: str) -> list[tuple[str, int, int]]:
+    """``(run_id, from, to)`` of started runs without any done record (few rows)."""
+    if not _exists(spark, manifest_path):
+        return []
+    from ..sources.manifest import scan_manifest
+
+    rec = scan_manifest(spark, manifest_path, pattern="*.json")
+    started = rec.where(F.col("status") == "started").select("run_id", "from_block", "to_block")
+    done = rec.where(F.col("status") == "done").select("run_id").distinct()
+    return [(r["run_id"], r["from_block"], r["to_block"]) for r in started.join(done, "run_id", "left_anti").collect()]
+
+
+def _started_record(spark: SparkSession, run_id: str, a: int, b: int) -> DataFrame:
+    stats = spark.createDataFrame([(a, b, 0, 0, 0)], "from_block long, to_block long, logs long, decoded long, filtered long")
+    return manifest_records(stats, run_id, status="started", attempts=0)
+
+
 def run(
     spark: SparkSession,
     logs: DataFrame,
@@ -70,9 +92,12 @@ def run(
 ) -> RunOutput:
     from ..sources.logs import resolve_range
 
-    run_id = run_id or uuid.uuid4().hex[:12]
     data_path = os.path.join(out_dir, "data")
     manifest_path = os.path.join(out_dir, "manifests")
+    if run_id is None:
+        for rid, a, b in _unfinished(spark, manifest_path):  # replay interrupted runs in place
+            _run_span(spark, logs, registry, a, b, step, semantics, rid, data_path, manifest_path, replay=True)
+    run_id = run_id or uuid.uuid4().hex[:12]
     bounds = resolve_range(logs, start, end).collect()[0]  # one row
     lo, hi = bounds["start_block"], bounds["end_block"]
     if lo is None or hi is None:
@@ -82,7 +107,21 @@ def run(
     if n_seeds == 0:
         return RunOutput(run_id, 0, 0, 0, 0, data_path, manifest_path)
     span = seeds.agg(F.min("from_block").alias("a"), F.max("to_block").alias("b")).collect()[0]
-    scoped = logs.where((F.col("block_number") >= span["a"]) & (F.col("block_number") <= span["b"]))
+    return _run_span(spark, logs, registry, int(span["a"]), int(span["b"]), step, semantics, run_id,
+                     data_path, manifest_path, seeds=seeds, n_seeds=n_seeds)
+
+
+def _run_span(spark, logs, registry, a, b, step, semantics, run_id, data_path, manifest_path,
+              seeds=None, n_seeds=None, replay=False) -> RunOutput:
+    if seeds is None:
+        covered = _coverage(spark, manifest_path)
+        seeds = G.work_seeds(covered, a, b, step).checkpoint(eager=True)
+        n_seeds = seeds.count()
+    if not replay:
+        append_manifest(_started_record(spark, run_id, a, b), manifest_path)
+    if n_seeds == 0:
+        return RunOutput(run_id, 0, 0, 0, 0, data_path, manifest_path)
+    scoped = logs.where((F.col("block_number") >= a) & (F.col("block_number") <= b))
     # seeds are disjoint and start at covered gaps: keep only logs inside a seed
     tagged = M.assign_chunks(scoped, seeds, bucket=step, n_chunks=n_seeds)
     keep = tagged.drop("chunk_from", "chunk_to")
