@@ -514,5 +514,19 @@ def q_node_stream(spark, sf):
     return spark.read.parquet(data).drop("batch_id")
 
 
+# ---- registry as a join (large registries) ----------------------------------
+
+def q_join_registry_map(spark, sf):
+    from .operators.decode_long import decode_long
+
+    return decode_long(lake(spark, sf, "events"), R.clpool_registry())
+
+
+def q_join_registry_abi(spark, sf):
+    from .operators.decode_long import decode_long
+
+    return decode_long(lake(spark, sf, "lineitem"), _abi_registry(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k[2:]: v for k, v in globals().items() if k.startswith("q_") and callable(v)}

@@ -287,6 +287,12 @@ FROM c LEFT JOIN a ON a.block_number BETWEEN c.from_block AND c.to_block GROUP B
     q["dataset_key"] = f"WITH {A} SELECT {ADDR_LC} AS address, {ADDR_LC} || '__topics-' || {fp} AS dataset_key FROM a GROUP BY 1"
     q["pipeline_run"] = q["decode_clpool"]
     q["stream_decode"] = q["decode_clpool"]
+    clp = ["amount0", "amount1", "liquidity", "owner", "recipient", "sender", "tick_lower", "tick_upper"]
+    q["join_registry_map"] = (f"WITH {A} SELECT {BASE}, event, field, value FROM ({clpool_rows()}) "
+                              f"UNPIVOT (value FOR field IN ({', '.join(clp)}))")
+    abi = ", ".join(f'"{c}"' for c in ABI_A_COLS)
+    q["join_registry_abi"] = (f"WITH {LI} SELECT {BASE}, event, field, value FROM ({swap_rows('reference')}) "
+                              f"UNPIVOT (value FOR field IN ({abi}))")
     q["node_scan"] = q["decode_clpool"]
     q["node_stream"] = q["decode_clpool"]
     q["pipeline_journal"] = f"WITH {A} SELECT min(block_number) AS from_block, max(block_number) AS to_block FROM a"
