@@ -166,10 +166,17 @@ def q_dedupe_logs(spark, sf):
 
 # ---- ABI-derived registries ----------------------------------------------
 
+_ABI_REG: dict[tuple, R.Registry] = {}
+
+
 def _abi_registry(spark, semantics="reference"):
+    """Registry built by the ABI job, once per session (it is small metadata)."""
     from .sources.abi import FIXTURE_ABIS, registry_from_abi
 
-    return registry_from_abi(spark, FIXTURE_ABIS["pool_a"], semantics)
+    key = (spark.sparkContext.applicationId, semantics)
+    if key not in _ABI_REG:
+        _ABI_REG[key] = registry_from_abi(spark, FIXTURE_ABIS["pool_a"], semantics)
+    return _ABI_REG[key]
 
 
 def q_decode_abi_registry(spark, sf):

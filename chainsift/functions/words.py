@@ -103,6 +103,16 @@ def _u60(h: Column) -> Column:
     return F.conv(h, 16, 10).cast("long")
 
 
+def _u124_string(body64: Column) -> Column:
+    """Decimal text of a 64-digit word below 2**124: two limbs combined in decimal(38,0), exact."""
+    hi = F.conv(F.substring(body64, 34, 15), 16, 10).cast("decimal(38,0)")
+    lo = F.conv(F.substring(body64, 49, 16), 16, 10).cast("decimal(38,0)")
+    two64 = F.lit("18446744073709551616").cast("decimal(38,0)")
+    return (hi * two64 + lo).cast("decimal(38,0)").cast("string")
+
+
+NATIVE_124 = False
+
 _Q18, _R18 = divmod(1 << 256, 10**18)
 _E18 = 10**18
 
@@ -148,8 +158,14 @@ def decimal_plan(body: Column, mode: int, fixed_width: bool) -> tuple[Column, Co
     top, dist = _near_top(body)
     if mode == 0:
         fits64 = has_zero_prefix(body, 48)
-        fast = F.when(fits64, F.conv(F.substring(body, 49, 16), 16, 10)).when(top, _two256_minus(dist))
-        handled = fits64 | top
+        fast = F.when(fits64, F.conv(F.substring(body, 49, 16), 16, 10))
+        handled = fits64
+        if fixed_width and NATIVE_124:
+            fits124 = has_zero_prefix(body, 33)
+            fast = fast.when(fits124, _u124_string(body))
+            handled = handled | fits124
+        fast = fast.when(top, _two256_minus(dist))
+        handled = handled | top
         slow_in = body if fixed_width else raw
         return fast, F.when(~F.coalesce(handled, F.lit(False)), slow_in)
     n = abs(mode)

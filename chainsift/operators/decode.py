@@ -46,6 +46,22 @@ _T0, _HEXC, _NTOPC = "__t0", "__hex", "__ntop"
 _PREP = (_T0, _HEXC, _NTOPC)
 
 
+_EXPR_CACHE: dict[tuple, object] = {}
+
+
+def _cached(kind: str, registry: Registry, semantics: str, build):
+    """Compiled expressions per (registry, semantics): building them is thousands of
+    py4j calls, and the same registry is typically decoded many times per session."""
+    from pyspark import SparkContext
+
+    key = (kind, id(SparkContext._active_spark_context), tuple(registry.specs.values()), semantics)
+    if key not in _EXPR_CACHE:
+        if len(_EXPR_CACHE) > 256:
+            _EXPR_CACHE.clear()
+        _EXPR_CACHE[key] = build()
+    return _EXPR_CACHE[key]
+
+
 def _prepare(logs: DataFrame) -> DataFrame:
     st = F.struct(
         F.lower(F.get(F.col("topics"), 0)).alias(_T0),
@@ -152,7 +168,8 @@ def classify(logs: DataFrame, registry: Registry, semantics: str = "reference")
     # the reason is produced by a generator so that a later filter on it does not
     # inline (and duplicate) the whole expression next to the projection
     prep = _prepare(logs)
-    out = prep.select("*", F.inline(F.array(F.struct(_reason(registry, semantics).alias(_REASON)))))
+    reason = _cached("reason", registry, semantics, lambda: _reason(registry, semantics))
+    out = prep.select("*", F.inline(F.array(F.struct(reason.alias(_REASON)))))
     return out.drop(*_PREP)
 
 
@@ -243,6 +260,16 @@ def _check_semantics(semantics: str) -> None:
         raise ValueError("semantics must be 'reference' or 'abi'")
 
 
+def _values(registry: Registry, outs: list[str], semantics: str):
+    names = None
+    for s in registry:
+        names = F.when(_is_spec(s), F.lit(s.name)) if names is None else names.when(_is_spec(s), F.lit(s.name))
+    conv = _Conversions()
+    values = [_output_column(registry, o, semantics, conv).alias(o) for o in outs]
+    int_pairs = sum(1 for sp in registry for o, _ in sp.projection if _field_value(sp, o, semantics)[0] == "int")
+    return names, (conv.fast, conv.slow), values, int_pairs
+
+
 def restrict(logs: DataFrame, registry: Registry, events: Iterable[str] | None) -> tuple[DataFrame, Registry]:
     """Event-name filter rewritten to a ``topic0 IN (...)`` predicate on the scan.
 
@@ -275,7 +302,8 @@ def decode(
         raise ValueError("on_error must be 'quarantine' or 'fail'")
     logs, registry = restrict(logs, registry, events)
     outs = registry.output_columns()
-    df = _prepare(logs).withColumn(_REASON, _reason(registry, semantics))
+    reason = _cached("reason", registry, semantics, lambda: _reason(registry, semantics))
+    df = _prepare(logs).withColumn(_REASON, reason)
     if on_error == "fail":
         failing = F.col(_REASON).isin(*ERROR_REASONS)
         df = df.where(
@@ -286,26 +314,22 @@ def decode(
             ).isNull()
         )
     df = df.where(F.col(_REASON).isNull())
-    names = None
-    for s in registry:
-        names = F.when(_is_spec(s), F.lit(s.name)) if names is None else names.when(_is_spec(s), F.lit(s.name))
-    conv = _Conversions()
-    values = [_output_column(registry, o, semantics, conv).alias(o) for o in outs]
+    names, conv, values, int_pairs = _cached("values", registry, semantics, lambda: _values(registry, outs, semantics))
     # stage 1: each distinct conversion once (JVM fast path + leftover input for the UDF)
     keep = ["block_number", "block_timestamp", "tx_hash", "log_index", "address", "topics", *_PREP]
     keep += [_REASON] if keep_reason else []
     # Behind a one-row generator each conversion is evaluated once; as plain aliases
     # CollapseProject would inline them into every CASE branch that uses them.
-    fields = [c.alias(n) for n, c in conv.fast.items()]
-    fields += [sc.alias(n + "s") for n, (sc, _) in conv.slow.items() if sc is not None]
-    int_pairs = sum(1 for sp in registry for o, _ in sp.projection if _field_value(sp, o, semantics)[0] == "int")
+    fast, slow = conv
+    fields = [c.alias(n) for n, c in fast.items()]
+    fields += [sc.alias(n + "s") for n, (sc, _) in slow.items() if sc is not None]
     if fields and int_pairs >= BARRIER_MIN_INT_PROJECTIONS:
         staged = df.select(*keep, F.inline(F.array(F.struct(*fields))))
     else:
         staged = df.select(*keep, *fields)
     wide = {n: F.coalesce(F.col(n), wide_int_to_decimal(F.col(n + "s"), F.lit(m)))
-            for n, (sc, m) in conv.slow.items() if sc is not None}
-    staged = staged.select(*keep, *[wide.get(n, F.col(n)).alias(n) for n in conv.fast])
+            for n, (sc, m) in slow.items() if sc is not None}
+    staged = staged.select(*keep, *[wide.get(n, F.col(n)).alias(n) for n in fast])
     cols = [
         F.col("block_number").cast("long").alias("block_number"),
         F.coalesce(F.col("block_timestamp").cast("long"), F.lit(0).cast("long")).alias("block_timestamp"),

@@ -22,6 +22,11 @@ ENGINE_CONF = {
 }
 
 
+# Let the JIT compile generated methods above 8 KB (a decode over a large registry
+# produces such methods; the JVM would otherwise interpret them).
+JIT_FLAG = "-XX:-DontCompileHugeMethods"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "chainsift") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -30,6 +35,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.driver.extraJavaOptions", JIT_FLAG)
+        .config("spark.executor.extraJavaOptions", JIT_FLAG)
     )
     for k, v in ENGINE_CONF.items():
         builder = builder.config(k, v)
@@ -47,6 +54,13 @@ def ensure_engine_conf(spark: SparkSession) -> None:
                 spark.conf.set(k, v)
         except Exception:  # static conf on an existing session
             pass
+    # Without the JIT flag on the executors, stages whose generated methods exceed the
+    # JIT's 8 KB limit run interpreted; then prefer Spark's split per-operator code.
+    conf = spark.sparkContext.getConf()
+    if JIT_FLAG not in (conf.get("spark.executor.extraJavaOptions", "") or "") or JIT_FLAG not in (
+        conf.get("spark.driver.extraJavaOptions", "") or ""
+    ):
+        spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def scratch_root(spark: SparkSession) -> str:
