@@ -24,12 +24,24 @@ from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, S
 from ..functions.udfs import keccak_topic
 from ..registry import REGISTRY_SCHEMA, Registry
 
+ABI_COMPONENT = StructType(
+    [
+        StructField("internalType", StringType()),
+        StructField("name", StringType()),
+        StructField("type", StringType()),
+        StructField(
+            "components",
+            ArrayType(StructType([StructField("name", StringType()), StructField("type", StringType())])),
+        ),
+    ]
+)
 ABI_INPUT = StructType(
     [
         StructField("indexed", BooleanType()),
         StructField("internalType", StringType()),
         StructField("name", StringType()),
         StructField("type", StringType()),
+        StructField("components", ArrayType(ABI_COMPONENT)),
     ]
 )
 ABI_ENTRY = StructType(
@@ -68,10 +80,27 @@ def _invalid_inputs(ev: DataFrame) -> DataFrame:
     return ev.where(bad)
 
 
-def registry_table(ev: DataFrame) -> DataFrame:
-    """Registry rows (``REGISTRY_SCHEMA`` + ``file``) from an ``abi_events`` table."""
+def _canonical(t, components, inner=None):
+    """ABI canonical type: ``tuple`` / ``tuple[..]`` become ``(component types)`` + suffix."""
+    comps = F.coalesce(components, F.array())
+    inner_types = F.transform(comps, inner) if inner is not None else F.transform(comps, lambda c: c["type"])
+    expanded = F.concat(F.lit("("), F.array_join(inner_types, ","), F.lit(")"), F.substring(t, 6, 1 << 20))
+    return F.when(t.startswith("tuple") & (F.size(comps) > 0), expanded).otherwise(t)
+
+
+def registry_table(ev: DataFrame, semantics: str = "reference") -> DataFrame:
+    """Registry rows (``REGISTRY_SCHEMA`` + ``file``) from an ``abi_events`` table.
+
+    ``reference`` hashes tuple inputs as the literal ``tuple`` (as the reference
+    does, giving a topic0 no node emits); ``abi`` expands the components (two levels).
+    """
     inputs = F.coalesce(F.col("inputs"), F.array().cast(ArrayType(ABI_INPUT)))
-    sig = F.concat(F.col("name"), F.lit("("), F.array_join(F.transform(inputs, lambda x: x["type"]), ","), F.lit(")"))
+    if semantics == "abi":
+        types = F.transform(inputs, lambda x: _canonical(
+            x["type"], x["components"], lambda c: _canonical(c["type"], c["components"])))
+    else:
+        types = F.transform(inputs, lambda x: x["type"])
+    sig = F.concat(F.col("name"), F.lit("("), F.array_join(types, ","), F.lit(")"))
     indexed = F.filter(inputs, lambda x: x["indexed"])
     plain = F.filter(inputs, lambda x: ~x["indexed"])
     topic_fields = F.transform(
@@ -104,4 +133,4 @@ def registry_from_abi(spark: SparkSession, paths: list[str] | str, semantics: st
     bad = _invalid_inputs(ev).select("file", "name").limit(1).collect()
     if bad:
         raise ValueError(f"ABI event {bad[0]['name']} in {bad[0]['file']}: input without indexed/internalType/type")
-    return Registry.from_df(registry_table(ev).orderBy("file", "topic0").select(*REGISTRY_SCHEMA.fieldNames()))
+    return Registry.from_df(registry_table(ev, semantics).orderBy("file", "topic0").select(*REGISTRY_SCHEMA.fieldNames()))

@@ -100,3 +100,24 @@ def test_chunk_stats_counts_empty_chunks(spark):
     chunks = spark.createDataFrame([(0, 9), (10, 19), (20, 29)], "from_block long, to_block long")
     got = sorted(tuple(r) for r in M.chunk_stats(logs, chunks, bucket=10).collect())
     assert got == [(0, 9, 2, 1, 1), (10, 19, 0, 0, 0), (20, 29, 1, 1, 0)]
+
+
+def test_abi_tuple_signatures(spark):
+    import json
+
+    from chainsift.functions.keccak import keccak256_hex
+
+    path = scratch_path(spark, "abi-tuple")
+    os.makedirs(path)
+    ev = {"type": "event", "name": "Order", "anonymous": False, "inputs": [
+        {"indexed": True, "internalType": "address", "name": "maker", "type": "address"},
+        {"indexed": False, "internalType": "struct O", "name": "o", "type": "tuple",
+         "components": [{"internalType": "uint256", "name": "a", "type": "uint256"},
+                        {"internalType": "struct P[]", "name": "p", "type": "tuple[]",
+                         "components": [{"name": "x", "type": "address"}, {"name": "y", "type": "bytes32"}]}]}]}
+    with open(os.path.join(path, "x.json"), "w") as f:
+        json.dump([ev], f)
+    ref = registry_from_abi(spark, os.path.join(path, "x.json"), "reference")
+    abi = registry_from_abi(spark, os.path.join(path, "x.json"), "abi")
+    assert list(ref.specs) == [keccak256_hex("Order(address,tuple)")]
+    assert list(abi.specs) == [keccak256_hex("Order(address,(uint256,(address,bytes32)[]))")]
