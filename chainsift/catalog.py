@@ -391,15 +391,25 @@ def q_shards_per_event(spark, sf):
 
 def q_raw_dump(spark, sf):
     """Undecoded logs written per chunk (only non-empty chunks get a directory)."""
-    from .operators import manifest as M
+    from .sinks.raw import write_raw_dump
 
     a, chunks = _events_chunks(spark, sf)
     path = scratch_path(spark, "raw-dump")
-    j = M.assign_chunks(a, chunks, bucket=50).drop("chunk_to")
-    j.write.partitionBy("chunk_from").option("compression", "zstd").parquet(path)
+    write_raw_dump(a, chunks, path, bucket=50)
     return spark.read.parquet(path).select("chunk_from", "block_number", "tx_hash", "log_index")
 
 
+def q_raw_dump_json(spark, sf):
+    """Same dump as NDJSON, read back with the raw-log schema."""
+    from .sinks.raw import write_raw_dump
+
+    a, chunks = _events_chunks(spark, sf)
+    path = scratch_path(spark, "raw-dump-json")
+    write_raw_dump(a, chunks, path, bucket=50, fmt="json")
+    return spark.read.schema("block_number long, tx_hash string, log_index long, chunk_from long").json(path).select(
+        "chunk_from", "block_number", "tx_hash", "log_index")
+
+
 def q_compact_tail(spark, sf):
     """Two runs into one shard directory; the under-full tail of run 1 is topped up by run 2."""
     from .sinks.shards import compact_tail, read_shards

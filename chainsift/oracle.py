@@ -267,6 +267,8 @@ WHERE user_id % 3 = 0 AND kind IN ('Mint', 'missing', 'Burn', 'short') AND block
     q["normalize_raw"] = f"""WITH {A} SELECT {ADDR_LC} AS address, {T0_OF_KIND} AS topic0, CAST({NTOP_OF_KIND} AS BIGINT) AS n_topics,
   block_number, CASE WHEN event_id % 3 = 2 THEN NULL ELSE block_timestamp END AS block_timestamp, tx_hash, log_index FROM a"""
     q["shards_scan"] = q["union_dynamic"]
+    q["raw_dump_json"] = f"""WITH {A}, mn AS (SELECT min(block_number) AS m FROM a)
+SELECT m + ((block_number - m) // 50) * 50 AS chunk_from, {KEYS} FROM a, mn"""
     q["write_shards"] = q["decode_clpool"]
     q["compact_tail"] = q["decode_clpool"]
     q["write_per_event"] = f"WITH {A} SELECT * FROM ({builtin_rows()}) WHERE event IN ('Mint', 'Deposit')"

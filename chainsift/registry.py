@@ -198,6 +198,19 @@ REGISTRY_SCHEMA = StructType(
 )
 
 
+def merge_registry_tables(*tables: DataFrame) -> DataFrame:
+    """Union registry tables; for a topic0 present in several, the last table wins."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    tagged = None
+    for prio, t in enumerate(tables):
+        x = t.select(*REGISTRY_SCHEMA.fieldNames()).withColumn("_prio", F.lit(prio))
+        tagged = x if tagged is None else tagged.unionByName(x)
+    w = Window.partitionBy(F.lower("topic0")).orderBy(F.col("_prio").desc())
+    return tagged.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn", "_prio")
+
+
 # ---------------------------------------------------------------------------
 # topic0 of the built-in events (keccak-256 of the event
 # signatures; must equal the reference's constants for identical results).

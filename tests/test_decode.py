@@ -131,3 +131,10 @@ def test_event_restriction_pushes_topic0_filter(spark, sf_small):
     plan = d._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "topic0" in plan
     assert {r["event"] for r in d.select("event").distinct().collect()} <= {"Mint"}
+
+
+def test_registry_table_merge_last_wins(spark):
+    a = R.clpool_registry().to_df(spark)
+    b = R.Registry.of(R.EventSpec(R.MINT_T0, "Other", (), (), ())).to_df(spark)
+    merged = R.Registry.from_df(R.merge_registry_tables(a, b))
+    assert merged.specs[R.MINT_T0].name == "Other" and len(merged) == 4
