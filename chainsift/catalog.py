@@ -92,8 +92,9 @@ def q_decode_events_only(spark, sf):
 
 def q_flagship(spark, sf):
     """Consumer query over decoded rows: Mint events in time order."""
-    d = D.decode(lake(spark, sf, "events"), R.clpool_registry(), events=["Mint"])
-    return d.where(F.col("event") == "Mint").orderBy("block_timestamp", "log_index")
+    d = D.decode_sorted(lake(spark, sf, "events"), R.clpool_registry(), ["block_timestamp", "log_index"],
+                        events=["Mint"])
+    return d.where(F.col("event") == "Mint")
 
 
 # ---- filters --------------------------------------------------------------
@@ -188,8 +189,9 @@ def q_decode_abi_signed(spark, sf):
 
 
 def q_sorted_swaps(spark, sf):
-    d = D.decode(lake(spark, sf, "lineitem"), _abi_registry(spark), events=["Swap"])
-    return d.where(F.col("event") == "Swap").orderBy("block_timestamp", "log_index").select(
+    d = D.decode_sorted(lake(spark, sf, "lineitem"), _abi_registry(spark), ["block_timestamp", "log_index"],
+                        events=["Swap"])
+    return d.where(F.col("event") == "Swap").select(
         "block_number", "block_timestamp", "log_index", "tx_hash", "amount0", "amount1", "tick"
     )
 

@@ -343,6 +343,20 @@ def decode(
     return staged.select(*cols, *extra)
 
 
+def decode_sorted(logs: DataFrame, registry: Registry, order_by: list[str], semantics: str = "reference",
+                  events: Iterable[str] | None = None) -> DataFrame:
+    """``decode`` with a global order on raw columns (e.g. block_timestamp, log_index).
+
+    Decoding is row-wise and keeps row order, so the sort runs on the raw logs: the
+    range-partitioning sample and the shuffle then see raw rows only, instead of
+    evaluating the whole decode (and its Python UDFs) twice.  A null timestamp
+    decodes to 0 and sorts first either way.
+    """
+    logs, registry = restrict(logs, registry, events)
+    keys = [F.coalesce(F.col(c), F.lit(0)).alias(c) if c == "block_timestamp" else F.col(c) for c in order_by]
+    return decode(logs.orderBy(*keys), registry, semantics)
+
+
 def rejects(logs: DataFrame, registry: Registry, semantics: str = "reference", errors_only: bool = True) -> DataFrame:
     """Quarantine side table: the raw rows that were not decoded, with their reason."""
     df = classify(logs, registry, semantics)
