@@ -53,7 +53,13 @@ def _cached(kind: str, registry: Registry, semantics: str, build):
     """Compiled expressions per (registry, semantics): building them is thousands of
     py4j calls, and the same registry is typically decoded many times per session."""
     from pyspark import SparkContext
+    from pyspark.sql import SparkSession
 
+    from ..session import ship_package
+
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
     key = (kind, id(SparkContext._active_spark_context), tuple(registry.specs.values()), semantics)
     if key not in _EXPR_CACHE:
         if len(_EXPR_CACHE) > 256:

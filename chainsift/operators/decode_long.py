@@ -53,7 +53,10 @@ FIELD_SCHEMA = "topic0 string, event string, field string, kind string, idx int,
 
 def decode_long(logs: DataFrame, registry: Registry, semantics: str = "reference") -> DataFrame:
     """``block_number, block_timestamp, tx_hash, log_index, contract, event, field, value`` (null values omitted)."""
+    from ..session import ship_package
+
     spark = logs.sparkSession
+    ship_package(spark)
     rows = field_table(registry, semantics)
     fields = spark.createDataFrame(rows, FIELD_SCHEMA)
     if len(rows) <= BROADCAST_FIELDS_MAX:

@@ -46,8 +46,31 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``chainsift`` importable in the Python workers (UDFs and the data source are
+    unpickled there by module name): zip the package once per application and
+    ``addPyFile`` it.  Harmless where the package is installed on the cluster."""
+    import shutil
+
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = scratch_root(spark)
+    local = root[len("file:"):] if root.startswith("file:") else root
+    base = local if os.path.isabs(local) and "://" not in root else tempfile.mkdtemp(prefix="chainsift-pkg-")
+    target = os.path.join(base, f"chainsift-pkg-{uuid.uuid4().hex[:8]}")
+    archive = shutil.make_archive(target, "zip", root_dir=os.path.dirname(pkg), base_dir="chainsift")
+    spark.sparkContext.addPyFile(archive)
+
+
 def ensure_engine_conf(spark: SparkSession) -> None:
     """Apply the runtime SQL settings the engine needs (cheap, idempotent)."""
+    ship_package(spark)
     for k, v in ENGINE_CONF.items():
         try:
             if k == "spark.sql.session.timeZone" or spark.conf.get(k, None) is None:

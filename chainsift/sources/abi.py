@@ -129,6 +129,9 @@ def registry_table(ev: DataFrame, semantics: str = "reference") -> DataFrame:
 
 def registry_from_abi(spark: SparkSession, paths: list[str] | str, semantics: str = "reference") -> Registry:
     """Build a decode registry from ABI files (collects the small registry table)."""
+    from ..session import ship_package
+
+    ship_package(spark)
     ev = abi_events(spark, paths, semantics)
     bad = _invalid_inputs(ev).select("file", "name").limit(1).collect()
     if bad:

@@ -52,6 +52,8 @@ class BlockRange(InputPartition):
 def _transport(options: dict):
     spec = options.get("transport", "chainsift.sources.node:LakeTransport")
     mod, _, attr = spec.partition(":")
+    if mod == "chainsift.sources.node" and attr == "LakeTransport":
+        return LakeTransport(options)  # shipped by value with this module
     return getattr(importlib.import_module(mod), attr)(options)
 
 
@@ -125,6 +127,17 @@ class EvmLogsDataSource(DataSource):
 
 
 def register(spark) -> None:
+    """Register ``evm_logs``.  The module is pickled by value, so the Python processes
+    that plan and read the source (including the streaming planner, which does not
+    see ``addPyFile`` archives) need not import this package."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    from ..session import ship_package
+
+    ship_package(spark)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(EvmLogsDataSource)
 
 
