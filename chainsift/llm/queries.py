@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard
+from . import decontaminate, fingerprint, jaccard, sharding, tokencount
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_token_counts": tokencount.op1_token_counts,
+        "op5_sharding": sharding.op5_sharding,
+        "op6_decontamination": decontaminate.op6_decontamination,
+        "op7_fingerprints": fingerprint.op7_fingerprints,
         "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
     }
 
