@@ -6,15 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, jaccard, sharding, tokencount
+from . import bpe, decontaminate, fingerprint, jaccard, lines, pii, sharding, tokencount
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": tokencount.op1_token_counts,
+        "op2_line_dedup": lines.op2_line_dedup,
+        "op3_pii": pii.op3_pii,
         "op5_sharding": sharding.op5_sharding,
         "op6_decontamination": decontaminate.op6_decontamination,
         "op7_fingerprints": fingerprint.op7_fingerprints,
+        "op9_bpe": bpe.op9_bpe,
         "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
     }
 
