@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fingerprint, jaccard, lines, pii, sharding, tokencount
+from . import bpe, decontaminate, fingerprint, jaccard, lines, pii, sharding, tokencount, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,10 +17,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_sharding": sharding.op5_sharding,
         "op6_decontamination": decontaminate.op6_decontamination,
         "op7_fingerprints": fingerprint.op7_fingerprints,
+        "op8_warc": warc.op8_warc,
         "op9_bpe": bpe.op9_bpe,
         "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_warc": warc.OP8_SQL}
