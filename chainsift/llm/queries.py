@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fingerprint, jaccard, lines, pii, sharding, tokencount, warc
+from . import bpe, cotraining, decontaminate, fingerprint, jaccard, lines, pii, sharding, tokencount, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_token_counts": tokencount.op1_token_counts,
         "op2_line_dedup": lines.op2_line_dedup,
         "op3_pii": pii.op3_pii,
+        "op4_quality": cotraining.op4_quality,
         "op5_sharding": sharding.op5_sharding,
         "op6_decontamination": decontaminate.op6_decontamination,
         "op7_fingerprints": fingerprint.op7_fingerprints,
