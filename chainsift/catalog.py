@@ -87,13 +87,13 @@ def q_decode_custom_const(spark, sf):
 
 def q_decode_events_only(spark, sf):
     """Event-name restriction rewritten into a pushed ``topic0 IN`` scan filter."""
-    return D.decode(lake(spark, sf, "events"), R.builtin_registry(), events=["Mint", "Deposit"])
+    return D.decode(lake(spark, sf, "events"), R.builtin_registry(), events=["Mint", "Deposit"], lower_case=True)
 
 
 def q_flagship(spark, sf):
     """Consumer query over decoded rows: Mint events in time order."""
     d = D.decode_sorted(lake(spark, sf, "events"), R.clpool_registry(), ["block_timestamp", "log_index"],
-                        events=["Mint"])
+                        events=["Mint"], lower_case=True)
     return d.where(F.col("event") == "Mint")
 
 
@@ -190,7 +190,7 @@ def q_decode_abi_signed(spark, sf):
 
 def q_sorted_swaps(spark, sf):
     d = D.decode_sorted(lake(spark, sf, "lineitem"), _abi_registry(spark), ["block_timestamp", "log_index"],
-                        events=["Swap"])
+                        events=["Swap"], lower_case=True)
     return d.where(F.col("event") == "Swap").select(
         "block_number", "block_timestamp", "log_index", "tx_hash", "amount0", "amount1", "tick"
     )
@@ -504,35 +504,6 @@ def q_stream_decode(spark, sf):
     return spark.read.parquet(data).drop("batch_id")
 
 
-# ---- node data source -------------------------------------------------------
-
-def _node_reader(spark, sf, fmt_reader):
-    from .sources.node import register
-
-    register(spark)
-    a = lake(spark, sf, "events")
-    lo = a.agg(F.min("block_number").alias("lo")).collect()[0]["lo"]
-    return (fmt_reader.format("evm_logs").option("transport", "chainsift.sources.node:LakeTransport")
-            .option("path", _lake_path(spark, sf, "events")).option("from_block", str(lo))
-            .option("step", "200")), lo
-
-
-def q_node_scan(spark, sf):
-    """Batch read through the ``evm_logs`` data source (one partition per 200 blocks), decoded."""
-    reader, _ = _node_reader(spark, sf, spark.read)
-    return D.decode(reader.option("to_block", "latest").load(), R.clpool_registry())
-
-
-def q_node_stream(spark, sf):
-    """Streaming read of the same source from its checkpointed block offset to the head."""
-    from .streaming.stream import stream_decode_source
-
-    reader, _ = _node_reader(spark, sf, spark.readStream)
-    out = scratch_path(spark, "node-stream")
-    data = stream_decode_source(spark, reader.load(), R.clpool_registry(), out, os.path.join(out, "_checkpoint"))
-    return spark.read.parquet(data).drop("batch_id")
-
-
 # ---- registry as a join (large registries) ----------------------------------
 
 def q_join_registry_map(spark, sf):

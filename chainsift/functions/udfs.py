@@ -56,12 +56,15 @@ def wide_int_to_decimal(bodies: pd.Series, modes: pd.Series) -> pd.Series:
 @pandas_udf(StringType())
 def checksum_address(addresses: pd.Series) -> pd.Series:
     uniq = pd.unique(addresses.dropna())
-    missing = [a for a in uniq if a not in _CHECKSUM_CACHE]
+    # the batch's own map is complete before anything is evicted
+    found = {a: _CHECKSUM_CACHE[a] for a in uniq if a in _CHECKSUM_CACHE}
+    missing = [a for a in uniq if a not in found]
     if missing:
-        if len(_CHECKSUM_CACHE) > _CACHE_LIMIT:
+        found.update(zip(missing, checksum_many(missing)))
+        if len(_CHECKSUM_CACHE) + len(missing) > _CACHE_LIMIT:
             _CHECKSUM_CACHE.clear()
-        _CHECKSUM_CACHE.update(zip(missing, checksum_many(missing)))
-    return addresses.map({a: _CHECKSUM_CACHE.get(a) for a in uniq}).astype(object)
+        _CHECKSUM_CACHE.update((a, found[a]) for a in missing)
+    return addresses.map(found).astype(object)
 
 
 @pandas_udf(StringType())

@@ -68,10 +68,16 @@ def _cached(kind: str, registry: Registry, semantics: str, build):
     return _EXPR_CACHE[key]
 
 
+def hex_payload() -> Column:
+    """Lower-cased ``data`` with exactly one ``0x`` in front, whether or not the log carries it."""
+    data = F.lower(F.coalesce(F.col("data"), F.lit("0x")))
+    return F.when(data.startswith("0x"), data).otherwise(F.concat(F.lit("0x"), data))
+
+
 def _prepare(logs: DataFrame) -> DataFrame:
     st = F.struct(
         F.lower(F.get(F.col("topics"), 0)).alias(_T0),
-        F.lower(F.coalesce(F.col("data"), F.lit("0x"))).alias(_HEXC),
+        hex_payload().alias(_HEXC),
         F.coalesce(F.size("topics"), F.lit(0)).alias(_NTOPC),
     )
     return logs.select("*", F.inline(F.array(st)))
@@ -146,7 +152,7 @@ def _spec_reason(spec: EventSpec, semantics: str) -> Column:
 
 def _data_ok() -> Column:
     h = _hex()
-    return (F.substring(h, 1, 2) == "0x") & W.is_hex(F.substring(h, 3, 1 << 30))
+    return W.is_hex(F.substring(h, F.lit(3), F.length(h)))
 
 
 def _reason(registry: Registry, semantics: str) -> Column:
@@ -159,9 +165,9 @@ def _reason(registry: Registry, semantics: str) -> Column:
     addr_ok = (F.length(addr) == 42) & (F.lower(F.substring(addr, 1, 2)) == "0x") & W.is_hex(F.substring(addr, 3, 40))
     expr = (
         F.when(F.col("block_number").isNull(), F.lit("null_block"))
-        .when(_ntop() == 0, F.lit("no_topics"))
+        .when(_ntop() <= 0, F.lit("no_topics"))
         .when(~_data_ok(), F.lit("bad_hex"))
-        .when(~known, F.lit("unknown_topic"))
+        .when(~F.coalesce(known, F.lit(False)), F.lit("unknown_topic"))  # a null topic0 is unknown too
     )
     if per_spec is not None:
         expr = expr.when(per_spec.isNotNull(), per_spec)
@@ -276,17 +282,20 @@ def _values(registry: Registry, outs: list[str], semantics: str):
     return names, (conv.fast, conv.slow), values, int_pairs
 
 
-def restrict(logs: DataFrame, registry: Registry, events: Iterable[str] | None) -> tuple[DataFrame, Registry]:
+def restrict(logs: DataFrame, registry: Registry, events: Iterable[str] | None,
+             lower_case: bool = False) -> tuple[DataFrame, Registry]:
     """Event-name filter rewritten to a ``topic0 IN (...)`` predicate on the scan.
 
-    A predicate on the derived ``event`` column cannot reach Parquet; the
-    topic0 list can (the lake keeps ``topic0`` lower-case, top level).
+    ``lower_case`` states that the logs' ``topic0`` column is lower-case already (as lakes
+    written here are): then the predicate is on the bare column and reaches Parquet.
+    Otherwise spellings are compared case-insensitively.
     """
     if events is None:
         return logs, registry
     reg = registry.only(events)
     if "topic0" in logs.columns:
-        logs = logs.where(F.col("topic0").isin(reg.topic0s()))
+        topic0 = F.col("topic0") if lower_case else F.lower("topic0")
+        logs = logs.where(topic0.isin(reg.topic0s()))
     return logs, reg
 
 
@@ -297,6 +306,7 @@ def decode(
     events: Iterable[str] | None = None,
     on_error: str = "quarantine",
     keep_reason: bool = False,
+    lower_case: bool = False,
 ) -> DataFrame:
     """Decode ``raw_logs`` rows with ``registry`` into the wide decoded table.
 
@@ -306,7 +316,7 @@ def decode(
     _check_semantics(semantics)
     if on_error not in ("quarantine", "fail"):
         raise ValueError("on_error must be 'quarantine' or 'fail'")
-    logs, registry = restrict(logs, registry, events)
+    logs, registry = restrict(logs, registry, events, lower_case)
     outs = registry.output_columns()
     reason = _cached("reason", registry, semantics, lambda: _reason(registry, semantics))
     df = _prepare(logs).withColumn(_REASON, reason)
@@ -350,7 +360,7 @@ def decode(
 
 
 def decode_sorted(logs: DataFrame, registry: Registry, order_by: list[str], semantics: str = "reference",
-                  events: Iterable[str] | None = None) -> DataFrame:
+                  events: Iterable[str] | None = None, lower_case: bool = False) -> DataFrame:
     """``decode`` with a global order on raw columns (e.g. block_timestamp, log_index).
 
     Decoding is row-wise and keeps row order, so the sort runs on the raw logs: the
@@ -358,7 +368,7 @@ def decode_sorted(logs: DataFrame, registry: Registry, order_by: list[str], sema
     evaluating the whole decode (and its Python UDFs) twice.  A null timestamp
     decodes to 0 and sorts first either way.
     """
-    logs, registry = restrict(logs, registry, events)
+    logs, registry = restrict(logs, registry, events, lower_case)
     keys = [F.coalesce(F.col(c), F.lit(0)).alias(c) if c == "block_timestamp" else F.col(c) for c in order_by]
     return decode(logs.orderBy(*keys), registry, semantics)
 

@@ -62,9 +62,7 @@ def decode_long(logs: DataFrame, registry: Registry, semantics: str = "reference
     if len(rows) <= BROADCAST_FIELDS_MAX:
         fields = F.broadcast(fields)
     kept = D.classify(logs, registry, semantics).where(F.col("filter_reason").isNull())
-    kept = kept.withColumn("__t0", F.lower(F.get(F.col("topics"), 0))).withColumn(
-        "__hex", F.lower(F.coalesce(F.col("data"), F.lit("0x")))
-    )
+    kept = kept.withColumn("__t0", F.lower(F.get(F.col("topics"), 0))).withColumn("__hex", D.hex_payload())
     j = kept.join(fields, kept["__t0"] == fields["topic0"])
     topic = F.get(F.col("topics"), F.col("idx"))
     wrd = F.substring(F.col("__hex"), F.lit(3) + F.col("idx") * W.WORD, F.lit(W.WORD))

@@ -295,7 +295,5 @@ FROM c LEFT JOIN a ON a.block_number BETWEEN c.from_block AND c.to_block GROUP B
     abi = ", ".join(f'"{c}"' for c in ABI_A_COLS)
     q["join_registry_abi"] = (f"WITH {LI} SELECT {BASE}, event, field, value FROM ({swap_rows('reference')}) "
                               f"UNPIVOT (value FOR field IN ({abi}))")
-    q["node_scan"] = q["decode_clpool"]
-    q["node_stream"] = q["decode_clpool"]
     q["pipeline_journal"] = f"WITH {A} SELECT min(block_number) AS from_block, max(block_number) AS to_block FROM a"
     return q

@@ -3,12 +3,13 @@
 One ``run``:
 
 1. resolve the requested range (``earliest`` / ``latest`` / numbers) against the lake;
-2. read the coverage journal (valid ``done`` records) and merge it;
+2. read the coverage journal of the dataset (address and topic set; valid ``done`` records) and merge it;
 3. plan work seeds = requested range minus coverage, chunked by ``step``;
-4. scan the lake once for the union of seeds (pushed block-range predicate),
-   classify + decode, and tag every log with its seed chunk (range join);
+4. scan the lake for the union of seeds (pushed block-range predicate),
+   classify + decode, and tag every log with its seed chunk (range join); rows, malformed
+   rows and counters are separate passes over that range;
 5. write decoded rows under ``run_id=<id>`` (dynamic partition overwrite, so a
-   retried run replaces its own output instead of duplicating it);
+   retried run replaces its own output instead of duplicating it), malformed ones to ``quarantine``;
 6. only then append one ``done`` journal record per chunk (with per-event row
    counts), so a crash before step 6 leaves the range uncovered.
 
@@ -50,6 +51,13 @@ class RunOutput:
     manifest_path: str
 
 
+def dataset_of(spark: SparkSession, registry: Registry, address: str | None) -> str:
+    """Folder name of a dataset: its address and a hash of its sorted topic set."""
+    topics = F.array_join(F.array_sort(F.array(*[F.lit(t) for t in registry.topic0s()]).cast("array<string>")), ",")
+    digest = spark.range(1).select(F.substring(F.sha2(topics, 256), 1, 16)).first()[0]
+    return f"{(address or 'any').lower()}-{digest}"
+
+
 def _coverage(spark: SparkSession, manifest_path: str) -> DataFrame:
     if not _exists(spark, manifest_path):
         return spark.createDataFrame([], "from_block long, to_block long")
@@ -89,15 +97,22 @@ def run(
     step: int = 5_000,
     semantics: str = "reference",
     run_id: str | None = None,
+    address: str | None = None,
 ) -> RunOutput:
+    """Decode what the journal of this dataset (address and topic set) does not cover yet.
+
+    A ``run_id`` given by the caller may be used for several ranges: each run's folder is named by id and span."""
     from ..sources.logs import resolve_range
 
+    key = dataset_of(spark, registry, address)
+    if address is not None:
+        logs = logs.where(F.lower("address") == address.lower())
     data_path = os.path.join(out_dir, "data")
-    manifest_path = os.path.join(out_dir, "manifests")
+    manifest_path = os.path.join(out_dir, "manifests", key)
     if run_id is None:
         for rid, a, b in _unfinished(spark, manifest_path):  # replay interrupted runs in place
             _run_span(spark, logs, registry, a, b, step, semantics, rid, data_path, manifest_path, replay=True)
-    run_id = run_id or uuid.uuid4().hex[:12]
+    named, run_id = run_id, run_id or uuid.uuid4().hex[:12]
     bounds = resolve_range(logs, start, end).collect()[0]  # one row
     lo, hi = bounds["start_block"], bounds["end_block"]
     if lo is None or hi is None:
@@ -107,6 +122,8 @@ def run(
     if n_seeds == 0:
         return RunOutput(run_id, 0, 0, 0, 0, data_path, manifest_path)
     span = seeds.agg(F.min("from_block").alias("a"), F.max("to_block").alias("b")).collect()[0]
+    if named is not None:
+        run_id = f"{named}.{key[-8:]}.{span['a']}-{span['b']}"
     return _run_span(spark, logs, registry, int(span["a"]), int(span["b"]), step, semantics, run_id,
                      data_path, manifest_path, seeds=seeds, n_seeds=n_seeds)
 
@@ -137,6 +154,12 @@ def _run_span(spark, logs, registry, a, b, step, semantics, run_id, data_path, m
         .parquet(data_path)
     )
 
+    rejected = M.assign_chunks(D.rejects(scoped, registry, semantics), seeds, bucket=step, n_chunks=n_seeds)
+    (
+        rejected.drop("chunk_from", "chunk_to").withColumn("run_id", F.lit(run_id))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
+        .parquet(os.path.join(os.path.dirname(data_path), "quarantine"))
+    )
     stats = M.chunk_stats(D.classify(scoped, registry, semantics), seeds, bucket=step, n_chunks=n_seeds)
     per_event = (
         M.assign_chunks(D.decode(scoped, registry, semantics).select("block_number", "event"), seeds,

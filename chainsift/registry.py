@@ -75,18 +75,16 @@ class EventSpec:
         object.__setattr__(self, "projection", tuple((k, v) for k, v in proj))
         object.__setattr__(self, "fast_zero_words", tuple(self.fast_zero_words))
         object.__setattr__(self, "drop_if_all_zero_fields", tuple(self.drop_if_all_zero_fields))
-        tnames = {f.name for f in self.topic_fields}
-        dnames = {f.name for f in self.data_fields}
-        for out, ref in self.projection:
-            if not isinstance(ref, Ref) or ref.kind not in ("topic", "data", "const", "none"):
-                raise ValueError(f"{out} projection is not a projection reference")
-            if ref.kind == "topic" and ref.value not in tnames:
-                raise ValueError(f"{out} projection refers to a non-existent topic field")
-            if ref.kind == "data" and ref.value not in dnames:
-                raise ValueError(f"{out} projection refers to a non-existent data field")
-        for f in self.topic_fields:
-            if f.index < 1:
-                raise ValueError(f"topic field {f.name} must use topic index >= 1")
+        low = [f.name for f in self.topic_fields if f.index < 1]
+        if low:
+            raise ValueError(f"{self.name}: topics of fields start at 1, not so for {low}")
+        allowed = {"topic": [f.name for f in self.topic_fields], "data": [f.name for f in self.data_fields]}
+        for column, ref in self.projection:
+            kind = ref.kind if isinstance(ref, Ref) else None
+            if kind not in {*allowed, "const", "none"}:
+                raise ValueError(f"{self.name}.{column}: {ref!r} is no Ref of a known kind")
+            if ref.value not in allowed.get(kind, [ref.value]):
+                raise ValueError(f"{self.name}.{column}: the event declares no {kind} field {ref.value!r}")
 
     def topic_field(self, name: str) -> TopicField | None:
         return next((f for f in self.topic_fields if f.name == name), None)
@@ -238,6 +236,10 @@ def _project(topic_names: Iterable[str], data_names: Iterable[str], rename: Mapp
     return tuple(proj)
 
 
+# The fields of the built-in events (names, order, ABI types and output columns are the
+# contracts' public interface), here and in the registries below.
+
+
 def _pool_ticks() -> tuple[TopicField, ...]:
     return (TopicField("owner", 1, "address"), TopicField("tick_lower", 2, "int24"), TopicField("tick_upper", 3, "int24"))
 

@@ -97,6 +97,8 @@ def scratch_root(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="chainsift-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir() or d
@@ -104,9 +106,5 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the scratch root."""
-    root = scratch_root(spark)
-    if root.startswith("file:"):
-        root = root[len("file:"):]
-    path = os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
-    return path
+    """A fresh, unique path under the scratch root (its URI scheme is kept)."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -17,7 +17,8 @@ def write_raw_dump(logs: DataFrame, chunks: DataFrame, path: str, bucket: int, f
     """
     j = assign_chunks(logs, chunks, bucket, n_chunks).drop("chunk_to")
     w = j.repartitionByRange("chunk_from", "block_number").sortWithinPartitions("chunk_from", "block_number", "log_index")
-    w = w.write.mode("append").partitionBy("chunk_from")
+    # a chunk that is fetched again replaces its own directory
+    w = w.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("chunk_from")
     if fmt == "json":
         w.json(path)
     elif fmt == "parquet":

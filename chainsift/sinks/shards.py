@@ -8,14 +8,15 @@
   single-partition window: range-partition + sort, checkpoint (so the partitioning is
   fixed), count rows per partition (one small row per partition), prefix-sum offsets.
 * ``full_shards_only`` -- rows that fill complete shards; the remainder stays pending.
-* ``compact_tail``     -- rewrite under-full files together with new rows, then drop
-  the old files (new file names every commit, so nothing is overwritten).
+* ``compact_tail``     -- rewrite under-full files together with new rows: staged, recorded,
+  moved in, then the old files dropped; ``recover`` completes or undoes what a crash left.
 * ``read_shards``      -- read back with schema merging and UINT_64 -> long.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +25,7 @@ from pyspark.sql.types import DecimalType
 from ..schema import ROW_ORDER
 
 DEFAULT_ROWS_PER_SHARD = 250_000
+STAGING, COMMIT = "_staging-", "_commit-"  # hidden from readers by their first character
 
 
 def _parts(df: DataFrame, rows_per_shard: int, num_rows: int | None) -> int:
@@ -122,23 +124,62 @@ def _jvm_fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
 
 
+def _paths(spark: SparkSession, path: str) -> list:
+    fs, jvm = _jvm_fs(spark, path)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return [f.getPath() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def _finish(spark: SparkSession, path: str, commit: str) -> None:
+    """Carry out a recorded compaction; every step may have been done before."""
+    fs, jvm = _jvm_fs(spark, path)
+    at = jvm.org.apache.hadoop.fs.Path
+    record = f"{path}/{COMMIT}{commit}"
+    tail = [r["value"] for r in spark.read.text(record).collect()]
+    for f in _paths(spark, f"{path}/{STAGING}{commit}"):
+        if f.getName().startswith("part-"):
+            fs.rename(f, at(f"{path}/{f.getName()}"))
+    for f in tail:
+        if f:
+            fs.delete(at(f), False)
+    fs.delete(at(f"{path}/{STAGING}{commit}"), True)
+    fs.delete(at(record), True)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Finish compactions whose record exists, drop staged files without one (a crash left them)."""
+    names = [p.getName() for p in _paths(spark, path)]
+    commits = [n[len(COMMIT):] for n in names if n.startswith(COMMIT)]
+    for c in commits:
+        _finish(spark, path, c)
+    fs, jvm = _jvm_fs(spark, path)
+    for n in names:
+        if n.startswith(STAGING) and n[len(STAGING):] not in commits:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}"), True)
+
+
 def compact_tail(spark: SparkSession, path: str, new_rows: DataFrame, rows_per_shard: int) -> list[str]:
-    """Append ``new_rows``, topping up under-full files: those files are re-written
-    together with the new rows (schemas promoted by name) into fresh files, and only
-    then removed.  Returns the removed file paths."""
-    try:
-        existing = spark.read.parquet(path)
-        sizes = existing.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"))
-        tail = [r["f"] for r in sizes.where(F.col("n") < rows_per_shard).collect()]  # only under-full files
-    except Exception:
-        tail = []
+    """Append ``new_rows``, topping up under-full files: these are re-written together with the new rows
+    (schemas merged by name).  Returns the paths of the files that were replaced.
+
+    The new files are staged in a hidden folder, a record names the files they replace, and only then are
+    they moved in and the old ones deleted; ``recover`` finishes or drops what a crash left, so
+    no row is lost or doubled by the next call."""
+    recover(spark, path)
+    tail: list[str] = []
+    if any(p.getName().startswith("part-") for p in _paths(spark, path)):
+        sizes = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"))
+        tail = [r["f"] for r in sizes.where(F.col("n") < rows_per_shard).collect()]  # one path for each under-full file
     combined = new_rows
     if tail:
-        old = spark.read.parquet(*tail)
+        old = spark.read.option("mergeSchema", "true").parquet(*tail)
         combined = old.unionByName(new_rows, allowMissingColumns=True)
-    write_shards(combined, path, rows_per_shard, mode="append")
-    if tail:
-        fs, jvm = _jvm_fs(spark, path)
-        for f in tail:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f), False)
+    commit = uuid.uuid4().hex
+    write_shards(combined, f"{path}/{STAGING}{commit}", rows_per_shard, mode="error")
+    record = f"{path}/{STAGING}{commit}/record"
+    spark.createDataFrame([(f,) for f in tail or [""]], "value string").coalesce(1).write.text(record)
+    fs, jvm = _jvm_fs(spark, path)
+    # the rename is the commit: before it the staged files do not count
+    fs.rename(jvm.org.apache.hadoop.fs.Path(record), jvm.org.apache.hadoop.fs.Path(f"{path}/{COMMIT}{commit}"))
+    _finish(spark, path, commit)
     return tail

@@ -53,6 +53,7 @@ ABI_ENTRY = StructType(
     ]
 )
 
+# The JSON files are public contract interfaces (event names, inputs, types).
 FIXTURE_ABIS = {
     "pool_a": os.path.join(os.path.dirname(os.path.dirname(__file__)), "abi", "pool_a.json"),
     "pool_b": os.path.join(os.path.dirname(os.path.dirname(__file__)), "abi", "pool_b.json"),

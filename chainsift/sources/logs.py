@@ -61,12 +61,9 @@ def resolve_range(logs: DataFrame, start, end) -> DataFrame:
     if av is not None and bv is not None and av > bv:
         raise ValueError(f"start {av} > end {bv}")
     head = logs.agg(F.max("block_number").alias("head"))
-    out = head.select(a.alias("start_block"), b.alias("end_block"))
-    return out.select(
-        "start_block",
-        "end_block",
-        F.when(F.col("start_block") > F.col("end_block"), F.raise_error(F.lit("start > end"))).alias("_chk"),
-    ).drop("_chk")
+    # the check is part of a returned column, so pruning cannot drop it
+    checked = F.when(a > b, F.raise_error(F.lit("start > end")).cast("long")).otherwise(a)
+    return head.select(checked.alias("start_block"), b.alias("end_block"))
 
 
 RPC_LOG = StructType(
@@ -87,7 +84,9 @@ RPC_LOG = StructType(
 def hex_or_int(c: Column) -> Column:
     """'0x..' hex text or a decimal number -> long (null stays null)."""
     s = F.lower(F.trim(c))
-    return F.when(s.startswith("0x"), F.conv(F.substring(s, 3, 64), 16, 10).cast("long")).otherwise(s.cast("long"))
+    digits = F.regexp_replace(F.substring(s, F.lit(3), F.length(s)), "^0+(?=.)", "")
+    number = F.when(F.length(digits) <= 16, F.conv(digits, 16, 10).cast("long"))  # longer ones fit no block number
+    return F.when(s.startswith("0x"), number).otherwise(s.cast("long"))
 
 
 def normalize_raw(rpc: DataFrame) -> DataFrame:

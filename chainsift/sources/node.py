@@ -11,9 +11,8 @@ on the executors from the reader options.  It must offer
 * ``get_logs(address, topic0s, from_block, to_block) -> pyarrow.Table`` (raw_logs schema)
 * ``latest_block() -> int``
 
-:class:`LakeTransport` serves a Parquet log lake (row groups pruned by pyarrow
-filters); :func:`rpc_logs_to_arrow` turns JSON-RPC log objects into that schema for
-network transports (none is shipped: tests run without network).
+No transport is shipped: a log lake is read with ``spark.read`` (see ``sources/logs.py``), and JSON-RPC
+objects become raw logs by ``normalize_raw``.
 """
 
 from __future__ import annotations
@@ -50,10 +49,10 @@ class BlockRange(InputPartition):
 
 
 def _transport(options: dict):
-    spec = options.get("transport", "chainsift.sources.node:LakeTransport")
+    spec = options.get("transport")
+    if not spec:
+        raise ValueError("option 'transport' names a 'module:Class'")
     mod, _, attr = spec.partition(":")
-    if mod == "chainsift.sources.node" and attr == "LakeTransport":
-        return LakeTransport(options)  # shipped by value with this module
     return getattr(importlib.import_module(mod), attr)(options)
 
 
@@ -139,58 +138,3 @@ def register(spark) -> None:
     ship_package(spark)
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(EvmLogsDataSource)
-
-
-class LakeTransport:
-    """Serves logs from a Parquet log lake (``path`` option) -- a stand-in node."""
-
-    def __init__(self, options: dict):
-        import pyarrow.dataset as ds
-
-        self.dataset = ds.dataset(options["path"], format="parquet")
-
-    def get_logs(self, address, topic0s, from_block, to_block) -> pa.Table:
-        import pyarrow.dataset as ds
-
-        f = (ds.field("block_number") >= from_block) & (ds.field("block_number") <= to_block)
-        if address:
-            f = f & (ds.field("address") == address.lower())
-        if topic0s:
-            f = f & ds.field("topic0").isin(topic0s)
-        return self.dataset.to_table(filter=f, columns=ARROW_SCHEMA.names)
-
-    def latest_block(self) -> int:
-        """Head from Parquet footers only (row-group max statistics)."""
-        head = -1
-        for frag in self.dataset.get_fragments():
-            md = frag.metadata
-            col = md.schema.names.index("block_number")
-            for i in range(md.num_row_groups):
-                st = md.row_group(i).column(col).statistics
-                if st is not None and st.has_min_max:
-                    head = max(head, int(st.max))
-        return head
-
-
-def rpc_logs_to_arrow(logs: list[dict]) -> pa.Table:
-    """JSON-RPC ``eth_getLogs`` objects -> raw_logs Arrow table (same rules as ``normalize_raw``)."""
-
-    def num(v):
-        if v is None:
-            return None
-        return int(v, 16) if isinstance(v, str) and v.lower().startswith("0x") else int(v)
-
-    cols = {n: [] for n in ARROW_SCHEMA.names}
-    for lg in logs:
-        if str(lg.get("removed", "false")).lower() == "true":
-            continue
-        topics = [t.lower() for t in (lg.get("topics") or []) if t]
-        cols["address"].append((lg.get("address") or "").lower())
-        cols["topic0"].append(topics[0] if topics else None)
-        cols["topics"].append(topics)
-        cols["data"].append((lg.get("data") or "0x").lower() or "0x")
-        cols["block_number"].append(num(lg.get("blockNumber")))
-        cols["block_timestamp"].append(num(lg.get("blockTimestamp")))
-        cols["tx_hash"].append((lg.get("transactionHash") or lg.get("transaction_hash") or "").lower())
-        cols["log_index"].append(num(lg.get("logIndex")))
-    return pa.table(cols, schema=ARROW_SCHEMA)

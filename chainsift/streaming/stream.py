@@ -1,9 +1,11 @@
-"""Structured Streaming decode: new raw-log files (or node blocks) -> decoded tables + journal.
+"""Structured Streaming decode: new raw-log files (or node blocks) -> decoded tables + batch records.
 
 ``decode`` is stateless, so the batch operator applies to each micro-batch as is.
 ``foreachBatch`` lands every micro-batch idempotently: its rows go to
 ``batch_id=<n>`` with dynamic partition overwrite (a replayed batch replaces its
-own output), then one journal record per micro-batch covers the blocks it held.
+own output), malformed logs go to ``quarantine``, and ``batches`` has one record of counters per
+micro-batch.  No block coverage is journalled: files may hold any blocks, and the stream's own
+checkpoint is what says which files are done.
 ``trigger(availableNow=True)`` turns the stream into an incremental catch-up job:
 each run processes exactly the files/blocks that arrived since the last one
 (tracked in the checkpoint), which is the reference's "from coverage to latest".
@@ -19,12 +21,14 @@ from pyspark.sql import functions as F
 from ..operators import decode as D
 from ..registry import Registry
 from ..schema import RAW_LOGS
-from ..sinks.manifest import append_manifest, manifest_records
+
+
+def _replace(rows: DataFrame, key: str, fmt: str, path: str) -> None:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).format(fmt).save(path)
 
 
 def _land(registry: Registry, out_dir: str, semantics: str):
     data_path = os.path.join(out_dir, "data")
-    manifest_path = os.path.join(out_dir, "manifests")
 
     def land(batch: DataFrame, batch_id: int) -> None:
         classified = D.classify(batch, registry, semantics)
@@ -35,14 +39,16 @@ def _land(registry: Registry, out_dir: str, semantics: str):
             .partitionBy("batch_id")
             .parquet(data_path)
         )
+        rejected = D.rejects(batch, registry, semantics).withColumn("batch_id", F.lit(batch_id))
+        _replace(rejected, "batch_id", "parquet", os.path.join(out_dir, "quarantine"))
         stats = classified.agg(
-            F.min("block_number").alias("from_block"),
-            F.max("block_number").alias("to_block"),
+            F.min("block_number").alias("min_block"),
+            F.max("block_number").alias("max_block"),
             F.count(F.lit(1)).alias("logs"),
             F.count_if(F.col("filter_reason").isNull()).alias("decoded"),
             F.count_if(F.col("filter_reason").isNotNull()).alias("filtered"),
         ).where(F.col("logs") > 0)
-        append_manifest(manifest_records(stats, f"batch-{batch_id}"), manifest_path)
+        _replace(stats.withColumn("batch_id", F.lit(batch_id)), "batch_id", "json", os.path.join(out_dir, "batches"))
 
     return land
 

@@ -24,20 +24,14 @@ def logs(spark, rows):
     return spark.createDataFrame(full, RAW_LOGS)
 
 
-def test_reference_decoder_example(spark):
-    reg = R.Registry.of(R.EventSpec("0x123", "TestEvent", (R.TopicField("user", 1, "address"),),
-                                    (R.DataField("amount", 0, "uint256"),),
-                                    (("user", R.topic_ref("user")), ("amount", R.data_ref("amount")))))
-    df = logs(spark, [
-        {"topics": ["0x123", "0x" + "0" * 24 + "1234567890123456789012345678901234567890"], "data": "0x" + word(100)},
-        {"topics": ["0x999"], "data": "0x"},
-    ])
-    out = D.decode(df, reg).collect()
-    assert len(out) == 1
-    r = out[0]
-    assert r["user"] == "0x1234567890123456789012345678901234567890"
-    assert r["amount"] == "100"
-    assert r["event"] == "TestEvent" and r["contract"] == "0xd8dA6BF26964aF9D7eEd9e03E53415D37aA96045"
+def test_topic_address_and_data_word(spark):
+    spec = R.EventSpec("0xabc1", "Paid", (R.TopicField("payer", 1, "address"),), (R.DataField("units", 0, "uint256"),),
+                       (("payer", R.topic_ref("payer")), ("units", R.data_ref("units"))))
+    payer = "0x" + "5e" * 20
+    df = logs(spark, [{"topics": ["0xabc1", "0x" + payer[2:].rjust(64, "0")], "data": "0x" + word(73)}, {"topics": ["0xdef2"]}])
+    [r] = D.decode(df, R.Registry.of(spec)).collect()
+    assert (r["event"], r["payer"], r["units"]) == ("Paid", payer, "73")
+    assert r["contract"].lower() == ADDR and r["contract"] != ADDR
 
 
 def _mint_like(spark, tick_topic: int, data_words):

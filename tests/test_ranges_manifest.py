@@ -15,20 +15,17 @@ from chainsift.sources.abi import FIXTURE_ABIS, registry_from_abi
 from chainsift.sources.manifest import done_coverage, scan_manifest
 
 
-def model_merge(ivs):
-    out = []
-    for s, e in sorted(ivs):
-        if out and s <= out[-1][1] + 1:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([s, e])
-    return [tuple(x) for x in out]
-
-
 def blocks(ivs):
     return {b for s, e in ivs for b in range(s, e + 1)}
 
 
+def runs_of(covered):
+    """Maximal runs of a set of blocks: where one begins, and where the next missing block is."""
+    begins = [b for b in covered if b - 1 not in covered]
+    ends = [b for b in covered if b + 1 not in covered]
+    return list(zip(sorted(begins), sorted(ends)))
+
+
 def test_merge_subtract_chunk_match_models(spark):
     rng = random.Random(3)
     ivs = []
@@ -37,10 +34,10 @@ def test_merge_subtract_chunk_match_models(spark):
         ivs.append((s, s + rng.randrange(0, 40)))
     df = spark.createDataFrame(ivs, "from_block long, to_block long")
     merged = sorted(tuple(r) for r in G.merge(df, bucket=128).collect())
-    assert merged == model_merge(ivs)
+    assert merged == runs_of(blocks(ivs))
     gaps = sorted(tuple(r) for r in G.subtract(df, 100, 2900).collect())
     want = blocks([(100, 2900)]) - blocks(ivs)
-    assert blocks(gaps) == want and len(gaps) == len(model_merge([(b, b) for b in want]))
+    assert blocks(gaps) == want and len(gaps) == len(runs_of(want))
     seeds = sorted(tuple(r) for r in G.work_seeds(df, 100, 2900, 7).collect())
     assert blocks(seeds) == want and all(e - s < 7 for s, e in seeds)
     grid = sorted(tuple(r) for r in G.grid(spark, 5, 27, 10).collect())
