@@ -1,29 +1,32 @@
 """BPE encoding and decoding by a distinct-word table.
 
 1. Tasks split their texts into words as the tokenizer file says (special strings first, then normaliser and pattern) and
-   write, per block of documents, the block's distinct words and each text as numbers into that list.
-2. The words of all blocks are exchanged by word: every distinct word is encoded once, its ids are decoded by a join
-   with the id-to-piece table (the vocabulary, of fixed size, so it is broadcast), and both are joined back to the
-   block's places.
-3. Blocks and their words meet again, and each text's ids and pieces are put together by position.
-
-A block closes at ``BLOCK_WORDS`` words or ``BLOCK_DISTINCT`` distinct ones, so a task's memory is bounded, and a word that is
-everywhere is one row per block.  Null and empty texts have no ids and decode to the empty text; ids may be null or repeat;
-an empty table gives an empty table; other columns travel in a struct, so their names cannot clash.
+   write, per block of documents, each text as numbers into the block's list of distinct words, and that list, cut into parts by
+   the words' hash.
+2. The lists are exchanged by part.  A part is a piece of the distinct-word table: each of its words is encoded once, in whichever
+   blocks it occurs, and the ids go back to the words' places in each block.
+3. Blocks and the parts of their lists meet again.  Ids are put together by position; pieces come from a map-side join
+   of ids with the id-to-piece table (the vocabulary, of fixed size), once for each word of a block.
+
+``decode`` is the same join for any table of ids.  Lists travel as compressed strings and packed numbers: one row per word and block would take
+three times the shuffle space.  A block closes at ``BLOCK_WORDS`` words or ``BLOCK_DISTINCT`` distinct ones, so a task's memory is
+bounded, and a word that is everywhere is one entry per block.  Null and empty texts have no ids and decode to the empty text; ids may
+be null or repeat; an empty table gives an empty table; other columns travel in a struct, so their names cannot clash.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
 from .common import slices, start, table, text_or_empty, written
 from .tokencount import LETTER, NUMBER, OTHER, SPACE, byte_of_symbol, character_kinds
@@ -116,9 +119,9 @@ def unpack(data: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- 1. blocks
 
 
-def _blocks(path: str) -> Callable:
+def _blocks(path: str, parts: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = splitter(path)
+        s, packer = splitter(path), zstandard.ZstdCompressor(level=6)  # words hold no line feeds
         block = TaskContext.get().partitionId() << 20
         known: dict[str, int] = {}
         rows: list[pa.Array] = []
@@ -129,24 +132,29 @@ def _blocks(path: str) -> Callable:
             order = np.argsort(-np.bincount(whole, minlength=len(known)), kind="stable")  # frequent words get short numbers
             rank = np.empty(len(known), np.int64)
             rank[order] = np.arange(len(known))
+            schema = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("row", rows[0].type), ("codes", pa.binary()), ("words", pa.binary())])
             data, at = pack(rank[whole])
             ends = np.concatenate([[0], np.cumsum([len(c) for c in codes])])
             cells = [data[at[a] : at[b]].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
             n = len(cells)
-            schema = pa.schema([("block", pa.int64()), ("row", rows[0].type), ("codes", pa.binary()), ("words", pa.list_(pa.string()))])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * n, pa.int64()), pa.concat_arrays(rows), pa.array(cells, pa.binary()), pa.nulls(n, schema.field(3).type)],
+                [pa.array([block] * n, pa.int64()), pa.nulls(n, pa.int32()), pa.concat_arrays(rows), pa.array(cells, pa.binary()), pa.nulls(n, schema.field(4).type)],
                 schema=schema)
             words = list(known)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.nulls(1, schema.field(1).type), pa.nulls(1, pa.binary()),
-                 pa.array([[words[k] for k in order.tolist()]], schema.field(3).type)], schema=schema)
+            part = np.array([zlib.crc32(w.encode()) % parts for w in words], np.int32)[order]
+            by_part = np.argsort(part, kind="stable")  # numbers ascend inside a part
+            for group in np.split(by_part, np.flatnonzero(np.diff(part[by_part])) + 1):
+                if len(group):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([block], pa.int64()), pa.array([part[group[0]]], pa.int32()), pa.nulls(1, rows[0].type),
+                         pa.array([pack(np.diff(group, prepend=0))[0].tobytes()], pa.binary()),
+                         pa.array([packer.compress("\n".join([words[k] for k in order[group].tolist()]).encode())], pa.binary())], schema=schema)
 
         size = 0
         for b in batches:
-            for part in slices(b, limit=1 << 20):
-                rows.append(part.column(0))
-                for text in part.column(1):
+            for run_ in slices(b, limit=1 << 20):
+                rows.append(run_.column(0))
+                for text in run_.column(1):
                     c = [known.setdefault(w, len(known)) for w in s.split(text.as_py())]
                     codes.append(np.array(c, np.int64))
                     size += len(c)
@@ -164,9 +172,18 @@ def _blocks(path: str) -> Callable:
 
 def vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """The id-to-piece table of a tokenizer file: ``(id, piece)``, as many rows as the vocabulary."""
+    return spark.createDataFrame(list(enumerate(pieces_of(path))), "id int, piece string")
+
+
+def pieces_of(path: str) -> list[str]:
+    """The same as a list by id."""
     from tokenizers import Tokenizer
 
-    return spark.createDataFrame([(i, p) for p, i in Tokenizer.from_file(path).get_vocab().items()], "id int, piece string")
+    ids = Tokenizer.from_file(path).get_vocab()
+    pieces = [""] * (max(ids.values()) + 1)
+    for piece, i in ids.items():
+        pieces[i] = piece
+    return pieces
 
 
 def decode(ids: DataFrame, vocab: DataFrame, key: str, ids_col: str = "ids") -> DataFrame:
@@ -176,41 +193,53 @@ def decode(ids: DataFrame, vocab: DataFrame, key: str, ids_col: str = "ids") ->
     return together.select(key, F.array_join(F.col("p.piece"), " ").alias("decoded"))
 
 
-def _encoder(path: str):
-    @F.pandas_udf("array<int>")
-    def encode(words):
+def _encode_parts(path: str, kind: str) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = splitter(path)
-        return words.map(s.encode)
+        table: dict[str, np.ndarray] = {}  # this part of the distinct-word table
+        packer, opener = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
+        for b in batches:
+            for k in range(b.num_rows):
+                found = []
+                for w in opener.decompress(b.column(2)[k].as_buffer()).decode().split("\n"):
+                    ids = table.get(w)
+                    if ids is None:
+                        ids = table[w] = np.array(s.encode(w), kind)
+                    found.append(ids)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(k, 1), b.column(1).slice(k, 1), pa.array([pack(np.array([len(x) for x in found], np.int64))[0].tobytes()], pa.binary()),
+                     pa.array([packer.compress(np.concatenate(found).tobytes())], pa.binary())], ["block", "places", "sizes", "ids"])
 
-    return encode
+    return run
 
 
 # ---------------------------------------------------------------- 3. back by position
 
 
-def _together(kinds: list[tuple[str, pa.DataType]], finish: Callable) -> Callable:
+def _together(kinds: list[tuple[str, pa.DataType]], finish: Callable, kind: str, shared) -> Callable:
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        pieces = shared.value
         fields = pa.schema([left.schema.field("row"), *kinds])
         if not left.num_rows:
             return fields.empty_table()
-        right = right.combine_chunks()
-        place = (right.column("place").to_numpy() & 0xFFFFFFFF).astype(np.int64)
-        back = np.empty(len(place), np.int64)
-        back[place] = np.arange(len(place))
-        raw = right.column("ids").to_pylist()
-        ids = [np.frombuffer(raw[k], np.uint32) for k in back.tolist()]
-        decoded = right.column("decoded").to_pylist()
-        pieces = [decoded[k] for k in back.tolist()]
-        size = np.array([len(x) for x in ids], np.int64)
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
-        first = np.concatenate([[0], np.cumsum(size)])
+
+        def column(name: str, of: Callable) -> np.ndarray:
+            return np.concatenate([of(x.as_buffer()) for x in right.column(name)] or [np.zeros(0, np.int64)])
+
+        place = column("places", lambda x: np.cumsum(unpack(np.frombuffer(x, np.uint8))))
+        given = column("sizes", lambda x: unpack(np.frombuffer(x, np.uint8)))
+        flat = column("ids", lambda x: np.frombuffer(zstandard.ZstdDecompressor().decompress(x), kind))
+        begin = np.cumsum(given) - given
+        size, first = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
+        size[place], first[place] = given, begin
+        text = [" ".join([pieces[i] for i in flat[a : a + n].tolist()]) for a, n in zip(first.tolist(), size.tolist(), strict=True)]
         rows = []
         for cell in left.column("codes"):
             codes = unpack(np.frombuffer(cell.as_buffer(), np.uint8))
             n = size[codes]
             ends = np.cumsum(n)
             at = np.repeat(first[codes] - ends + n, n) + np.arange(int(ends[-1]) if len(ends) else 0)
-            rows.append(finish(flat[at], " ".join([pieces[k] for k in codes.tolist()])))
+            rows.append(finish(flat[at], " ".join([text[k] for k in codes.tolist()])))
         columns = [pa.array([r[c] for r in rows], fields.field(c + 1).type) for c in range(len(fields) - 1)]
         return pa.Table.from_arrays([left.column("row"), *columns], schema=fields)
 
@@ -231,27 +260,17 @@ def _run(docs: DataFrame, path: str, text_col: str, finish: Callable, kinds: dic
     others = [c for c in docs.columns if c != text_col] or [F.lit(None).cast("int").alias("none")]
     texts = docs.select(F.struct(*others).alias("row"), text_or_empty(text_col).alias("text"))
     row = texts.schema["row"].dataType
-    blocks = written(texts.mapInArrow(_blocks(path), f"block long, row {row.simpleString()}, codes binary, words array<string>"), "blocks")
-
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    listed = blocks.where("words is not null").select("block", F.posexplode("words").alias("code", "word"))
-    listed = listed.select("word", (F.shiftleft("block", 32) + F.col("code")).alias("place")).repartition(tasks, "word")
-    encoded = listed.groupBy("word").agg(F.lit(1).alias("one")).select("word", _encoder(path)("word").alias("ids"))
-    decoded = decode(encoded, vocabulary(spark, path), "word")
-    known = encoded.join(decoded, "word").select("word", _as_bytes("ids").alias("ids"), "decoded")
-    placed = listed.join(known, "word").select(F.shiftright("place", 32).alias("block"), "place", "ids", "decoded")
-
-    coded = blocks.where("codes is not null").select("block", "row", "codes")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = f"block long, part int, row {row.simpleString()}, codes binary, words binary"
+    blocks = written(texts.mapInArrow(_blocks(path, parts), out), "blocks")
+    pieces = pieces_of(path)
+    kind = "<u2" if len(pieces) <= 1 << 16 else "<u4"
+    listed = blocks.where("part is not null").select("block", F.col("codes").alias("places"), "words", "part").repartition(parts, "part").drop("part")
+    encoded = listed.mapInArrow(_encode_parts(path, kind), "block long, places binary, sizes binary, ids binary")
+    coded = blocks.where("part is null").select("block", "row", "codes")
     out = f"row {row.simpleString()}, " + ", ".join(f"{n} {t}" for n, (t, _) in kinds.items())
-    return coded.groupBy("block").cogroup(placed.groupBy("block")).applyInArrow(_together([(n, t) for n, (_, t) in kinds.items()], finish), out)
-
-
-def _as_bytes(column: str):
-    @F.pandas_udf(BinaryType())
-    def packed(ids):
-        return ids.map(lambda x: np.asarray(x, "<u4").tobytes())
-
-    return packed(column)
+    finished = _together([(n, t) for n, (_, t) in kinds.items()], finish, kind, spark.sparkContext.broadcast(pieces))
+    return coded.groupBy("block").cogroup(encoded.groupBy("block")).applyInArrow(finished, out)
 
 
 def encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:

@@ -32,9 +32,12 @@ def test_ids_and_decoded_texts(spark):
     got = Counter((r.row.word, tuple(r.ids), r.decoded) for r in bpe.encode(docs, WORD_BPE).collect())
     assert got == Counter((i, tuple(a), b) for (i, _, _), (a, b) in zip(rows, library([t for _, t, _ in rows]), strict=True))
     assert bpe.encode(docs.limit(0), WORD_BPE).count() == 0
+    ids = spark.createDataFrame([(k, i) for k, (i, _) in enumerate(library(ODD))], "k int, ids array<int>")
+    again = bpe.decode(ids, bpe.vocabulary(spark, WORD_BPE), "k").collect()
+    assert {r.k: r.decoded for r in again} == {k: b for k, (_, b) in enumerate(library(ODD))}
 
 
-def test_whole_table(spark, documents, monkeypatch):
+def test_whole_table(spark, documents):
     docs = documents.select("doc_id", "text")
     rows = docs.collect()
     expected = {(r.doc_id, len(i), sha(np.array(i, "<u4").tobytes()), sha(t)) for r, (i, t) in zip(rows, library([r.text for r in rows]), strict=True)}
