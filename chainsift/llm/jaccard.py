@@ -41,7 +41,7 @@ BROADCAST_ROWS = 500_000  # of 24 bytes; beyond it the same join runs shuffled
 
 _CUT = np.uint64(64 - CELL_BITS)
 _LOW = np.uint64((1 << (64 - CELL_BITS)) - 1)
-_PAIR = np.uint64(0xD6E8FEB86659FD93)
+_PAIR = 0xD6E8FEB86659FD93
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int, column: str = "text") -> Iterator[np.ndarray]:
@@ -65,7 +65,8 @@ def _signed(x: np.ndarray) -> pa.Array:
 def _class_of(s: np.ndarray) -> int:
     """A 64-bit name of a set."""
     m = mix(s)
-    return int(mix(np.array([np.sum(m, dtype=np.uint64) ^ (np.bitwise_xor.reduce(m) * _PAIR)], np.uint64) + np.uint64(len(s)))[0])
+    both = int(np.sum(m, dtype=np.uint64)) ^ (int(np.bitwise_xor.reduce(m)) * _PAIR)
+    return int(mix(np.array([(both + len(s)) % (1 << 64)], np.uint64))[0])
 
 
 # ---------------------------------------------------------------- 1. the order
@@ -199,6 +200,15 @@ def _may_link(percent: int) -> Column:
     )
 
 
+def _with_partner(lists: DataFrame, by_size, percent: int) -> DataFrame:
+    """Rows of the lists that have a row of a linkable size beside them: a smaller one that lists the
+    shingle in its short prefix, or a larger one if this row does so itself."""
+    smaller = F.last(F.when(F.col("short"), F.col("n")), ignorenulls=True).over(by_size.rowsBetween(Window.unboundedPreceding, -1))
+    larger = F.lead("n").over(by_size)
+    return (lists.withColumn("smaller", smaller).withColumn("larger", larger)
+            .where((F.col("smaller") * 100 >= F.col("n") * percent) | (F.col("short") & (F.col("n") * 100 >= F.col("larger") * percent))))
+
+
 def _tokens_of(size: int, shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = shared.value
@@ -246,7 +256,7 @@ class _Sets:
 
 def links_and_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,
                          percent: int = 75) -> tuple[DataFrame, DataFrame]:
-    """Rows ``(doc_id, n_shingles, class_id, component_id)`` and verified links ``(u, v)`` between classes.
+    """Rows ``(doc_id, th: hash of the text, n_shingles, class_id, component, component_id)`` and verified links ``(u, v)`` between classes.
 
     ``links`` are enough to connect every component (not all pairs of a component)."""
     spark = docs.sparkSession
@@ -257,9 +267,12 @@ def links_and_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     prefixes = docs.select("text").mapInArrow(_prefix_rows(size, percent, shared), "token long, gid long, n int, short boolean")
     by_token = Window.partitionBy("token")
-    # lists of shingles that only one group has make no pair
-    listed = (prefixes.withColumn("lo", F.min("gid").over(by_token)).withColumn("hi", F.max("gid").over(by_token))
-              .where("lo <> hi").select("token", "gid", "short").distinct())
+    by_size = by_token.orderBy("n", "gid")
+    # lists of shingles that only one group has make no pair; a group stays once in a list ...
+    listed = (prefixes.withColumn("lo", F.min("gid").over(by_token)).withColumn("hi", F.max("gid").over(by_token)).where("lo <> hi")
+              .withColumn("same", F.lag("gid").over(by_size)).where("same is null or same <> gid").select("token", "gid", "n", "short"))
+    # ... and only if a group of a size that may link is in it too
+    listed = _with_partner(listed, by_size, percent).select("token", "gid", "short")
     classes = rows.where("n > 0").select("gid", "cid", "n", *[f"m{k}" for k in range(MAP_WORDS)]).dropDuplicates(["cid"])
     crowded = (classes.groupBy("gid").agg(F.count("*").alias("c")).where("c > 1")
                .select(F.col("gid").alias("token"), "gid", F.lit(True).alias("short")))
@@ -278,9 +291,9 @@ def links_and_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     near = None
     for seed in (1, 2):
         w = Window.partitionBy("token").orderBy(*(["n"] if seed == 1 else []), F.xxhash64("cid", F.lit(seed)), "cid")
-        lag = [F.lag("cid", k).over(w).alias(f"p{k}") for k in (1, 2)]
-        found = lists.select("cid", *lag).select("cid", F.explode(F.array("p1", "p2")).alias("o")).where("o is not null and o <> cid")
-        found = found.select(F.least("cid", "o").alias("u"), F.greatest("cid", "o").alias("v"))
+        found = lists.select("cid", "n", F.array(*[F.lag(F.struct("cid", "n"), k).over(w) for k in (1, 2)]).alias("before"))
+        found = found.select("cid", "n", F.explode("before").alias("o")).where((F.col("o.cid") != F.col("cid")) & (F.least("n", "o.n") * 100 >= F.greatest("n", "o.n") * percent))
+        found = found.select(F.least("cid", "o.cid").alias("u"), F.greatest("cid", "o.cid").alias("v"))
         near = found if near is None else near.unionAll(found)
     near = near.distinct()
     a, b = maps.alias("a"), maps.alias("b")
@@ -292,7 +305,8 @@ def links_and_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     label = lists.join(comp.select(F.col("node").alias("cid"), "component"), "cid", "left").withColumn(
         "component", F.coalesce("component", "cid"))
     open_lists = (label.withColumn("lo", F.min("component").over(by_token)).withColumn("hi", F.max("component").over(by_token))
-                  .where("lo <> hi").select("token", "cid", "short", "component"))
+                  .where("lo <> hi").select("token", "cid", "n", "short", "component"))
+    open_lists = _with_partner(open_lists, by_token.orderBy("n", "cid"), percent).select("token", "cid", "short", "component")
     open_lists = written(open_lists.join(maps, "cid"), "open")
     a, b = open_lists.alias("a"), open_lists.alias("b")
     rest = a.join(b, (F.col("a.token") == F.col("b.token")) & (F.col("a.component") != F.col("b.component"))
@@ -311,15 +325,15 @@ def links_and_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
         "component", F.coalesce("component", "cid"))
     smallest = of_class.groupBy("component").agg(F.min("first").alias("component_id"))
     named = of_class.join(smallest, "component").select("cid", "component", "component_id")
-    full = rows.select("doc_id", "n", "cid").where("n > 0").join(named, "cid").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.col("cid").alias("class_id"), "component", "component_id")
-    none = rows.where("n = 0").select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("class_id"),
+    full = rows.select("doc_id", "th", "n", "cid").where("n > 0").join(named, "cid").select(
+        "doc_id", "th", F.col("n").cast("long").alias("n_shingles"), F.col("cid").alias("class_id"), "component", "component_id")
+    none = rows.where("n = 0").select("doc_id", "th", F.lit(0).cast("long").alias("n_shingles"), F.lit(None).cast("long").alias("class_id"),
                                       F.lit(None).cast("long").alias("component"), F.col("doc_id").alias("component_id"))
     return full.unionAll(none), links
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
-    """``(doc_id, n_shingles, class_id, component, component_id)`` of every row."""
+    """``(doc_id, th, n_shingles, class_id, component, component_id)`` of every row."""
     return links_and_components(docs, id_col, text_col, size, percent)[0]
 
 
