@@ -107,15 +107,15 @@ def _replacements() -> dict[int, str]:
 
 
 REPLACEMENTS = _replacements()
-_CHARACTERS = re.compile("[" + "".join(re.escape(chr(c)) for c in sorted(REPLACEMENTS)) + "]")
-_DIGIT = "(?:" + "|".join(DIGIT_WORDS) + ")"
-_SPELLED = re.compile(rf"(?<![^\W\d_]){_DIGIT}(?:[ ,-]{{0,2}}(?:{_DIGIT}|[0-9]))+(?![^\W\d_])", re.I)
-_ONE_DIGIT = re.compile(rf"({_DIGIT})|[ ,-]+", re.I)
-_PLUS = re.compile(rf"(?<![^\W\d_])plus[ ]{{1,2}}(?=[0-9]|{_DIGIT}(?![^\W\d_]))", re.I)
+_REPLACED = {chr(c): new for c, new in REPLACEMENTS.items()}
+_DIGIT = "(?ai:" + "|".join(DIGIT_WORDS) + ")"  # ASCII letters of either case only; look-alikes are replaced before
+_SPELLED = re.compile(rf"(?<![^\W\d_]){_DIGIT}(?:[ ,-]{{0,2}}(?:{_DIGIT}|[0-9]))+(?![^\W\d_])")
+_ONE_DIGIT = re.compile(rf"({_DIGIT})|[ ,-]+")
+_PLUS = re.compile(rf"(?<![^\W\d_])(?ai:plus)[ ]{{1,2}}(?=[0-9]|{_DIGIT}(?![^\W\d_]))")
 _BRACKETED = re.compile(r"[ \t]{0,3}[\[({<][ \t]{0,3}(at|dot|[@.])[ \t]{0,3}[\])}>][ \t]{0,3}", re.I)
 _SPELLED_AT = re.compile(r"(?<=[A-Za-z0-9])([ \t]{1,3}(?:at|@)[ \t]{1,3})[A-Za-z0-9-]{1,63}((?:[ \t]{1,3}dot[ \t]{1,3}[A-Za-z0-9-]{1,63}){1,8})", re.I)
 _SPELLED_DOT = re.compile(r"[ \t]{1,3}dot[ \t]{1,3}", re.I)
-_DOTTED_DIGITS = re.compile(r"(?<=[0-9])[ \t]{1,3}(?:dot|point)[ \t]{1,3}(?=[0-9])", re.I)
+_DOTTED_DIGITS = re.compile(r"(?<=[0-9])[ \t]{1,3}(?ai:dot|point)[ \t]{1,3}(?=[0-9])")
 
 Edit = tuple[int, int, str]
 
@@ -191,12 +191,18 @@ def _spelled(text: str) -> list[Edit]:
 
 
 def _signs(text: str) -> list[Edit]:
-    edits = [(m.start(), m.end(), "@" if m.group(1).lower() in ("at", "@") else ".") for m in _BRACKETED.finditer(text)]
-    for m in _SPELLED_AT.finditer(text):
-        edits.append((*m.span(1), "@"))
-        edits += [(d.start(), d.end(), ".") for d in _SPELLED_DOT.finditer(text, *m.span(2))]
-    edits += [(m.start(), m.end(), ".") for m in _DOTTED_DIGITS.finditer(text)]
-    edits += [(m.start(), m.end(), "+") for m in _PLUS.finditer(text)]
+    """Each pattern runs only on texts that hold a sign or word which it cannot do without."""
+    edits, low = [], text.lower()
+    if any(c in text for c in "[({<"):
+        edits += [(m.start(), m.end(), "@" if m.group(1).lower() in ("at", "@") else ".") for m in _BRACKETED.finditer(text)]
+    if "dot" in low:
+        for m in _SPELLED_AT.finditer(text):
+            edits.append((*m.span(1), "@"))
+            edits += [(d.start(), d.end(), ".") for d in _SPELLED_DOT.finditer(text, *m.span(2))]
+    if "dot" in low or "point" in low:
+        edits += [(m.start(), m.end(), ".") for m in _DOTTED_DIGITS.finditer(text)]
+    if "plus" in low:
+        edits += [(m.start(), m.end(), "+") for m in _PLUS.finditer(text)]
     return edits
 
 
@@ -211,10 +217,8 @@ def _apart(edits: list[Edit]) -> list[Edit]:
 def normalise(text: str) -> Mapped:
     """Characters first, then spelled digits, then signs: three transducers in a row, offsets composed."""
     m = Mapped(text)
-    if not text.isascii():
-        edits = [(x.start(), x.end(), REPLACEMENTS[ord(x.group())]) for x in _CHARACTERS.finditer(text)]
-        if edits:
-            m = m.edited(edits)
+    if not text.isascii() and not _REPLACED.keys().isdisjoint(set(text)):
+        m = m.edited([(k, k + 1, _REPLACED[c]) for k, c in enumerate(text) if c in _REPLACED])
     edits = _spelled(m.text)
     if edits:
         m = m.edited(edits)
