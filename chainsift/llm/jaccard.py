@@ -282,19 +282,19 @@ def links_and_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     def verified(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.col("u").alias("cid")).unionAll(pairs.select(F.col("v").alias("cid"))).distinct()
-        whole = written(sets.of(wanted), "whole")
+        whole = sets.of(wanted)  # already dealt by class, which both joins use
         joined = (pairs.join(whole.select(F.col("cid").alias("u"), F.col("tokens").alias("x")), "u")
                   .join(whole.select(F.col("cid").alias("v"), F.col("tokens").alias("y")), "v").select("u", "v", "x", "y"))
         return joined.mapInArrow(_verify(percent), "u long, v long")
 
     # neighbours within each list, by two orders: linear in the lists
-    near = None
-    for seed in (1, 2):
-        w = Window.partitionBy("token").orderBy(*(["n"] if seed == 1 else []), F.xxhash64("cid", F.lit(seed)), "cid")
-        found = lists.select("cid", "n", F.array(*[F.lag(F.struct("cid", "n"), k).over(w) for k in (1, 2)]).alias("before"))
-        found = found.select("cid", "n", F.explode("before").alias("o")).where((F.col("o.cid") != F.col("cid")) & (F.least("n", "o.n") * 100 >= F.greatest("n", "o.n") * percent))
-        found = found.select(F.least("cid", "o.cid").alias("u"), F.greatest("cid", "o.cid").alias("v"))
-        near = found if near is None else near.unionAll(found)
+    before = []
+    for order in (["n", F.xxhash64("cid", F.lit(1)), "cid"], [F.xxhash64("cid", F.lit(2)), "cid"]):
+        w = by_token.orderBy(*order)
+        before += [F.lag(F.struct("cid", "n"), k).over(w) for k in (1, 2)]
+    near = lists.select("cid", "n", F.array(*before).alias("before")).select("cid", "n", F.explode("before").alias("o"))
+    near = near.where((F.col("o.cid") != F.col("cid")) & (F.least("n", "o.n") * 100 >= F.greatest("n", "o.n") * percent))
+    near = near.select(F.least("cid", "o.cid").alias("u"), F.greatest("cid", "o.cid").alias("v"))
     near = near.distinct()
     a, b = maps.alias("a"), maps.alias("b")
     tried = written(near.join(a, F.col("u") == F.col("a.cid")).join(b, (F.col("v") == F.col("b.cid")) & _may_link(percent)).select("u", "v"), "near")
