@@ -81,8 +81,8 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _header(piece: bytes) -> tuple[dict[str, str], int, int] | None:
-    """Fields, header length with its end, and content length; nothing if it is no header."""
-    cut = piece.find(b"\r\n\r\n", 0, 1 << 16)
+    """Fields, header length with its end, and content length; nothing if it is no header.  Headers may be of any length."""
+    cut = piece.find(b"\r\n\r\n")
     if cut < 0:
         return None
     fields = {}

@@ -73,3 +73,16 @@ def test_empty_and_foreign(spark, tmp_path):
 def test_table(spark, sf_small):
     rows = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{sf_small}/pages.parquet").collect()]
     assert Counter(map(tuple, warc.op8_warc(spark, sf_small).collect())) == expected(rows)
+
+
+@pytest.mark.parametrize("split", ["128m", "1k"])
+def test_long_headers(spark, split):
+    rows = [(k, "data:" + "a/b%20" * 35_000 if k in (0, 3) else f"http://a/{k}", f"page {k} " * 20) for k in range(6)]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        got = warc.archived(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1))
+        assert read(got) == expected(rows)
+        assert {(r.page_id, r.uri) for r in got.collect()} == {r[:2] for r in rows}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
