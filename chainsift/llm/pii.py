@@ -1,8 +1,8 @@
 """Personal data in whole texts, also where it is disguised, as spans of the source text.
 
 A text is searched twice.  First as it is: these are the base spans.  Then a transducer normalises it
-(look-alike and full-width characters, digits of other scripts, invisible characters, spelled digits, bracketed or spelled
-"at" and "dot") and writes, along with the normalised text, where each piece came from.  Identifiers found there
+(look-alike, full-width, mathematical and circled characters, digits of other scripts, invisible characters, spelled digits,
+bracketed or spelled "at" and "dot" in any mix) and writes, along with the normalised text, where each piece came from.  Identifiers found there
 that cover a normalised place are mapped back to source characters and added.  Base spans always stay.
 
 Kinds, leftmost and non-overlapping for each kind, failing matches dropped without another try: email, ip (parts at most 255),
@@ -102,6 +102,10 @@ def _replacements() -> dict[int, str]:
             found[ord(c)] = ""
         elif 0xFF01 <= ord(c) <= 0xFF5E:
             found[ord(c)] = chr(ord(c) - 0xFEE0)
+        elif unicodedata.decomposition(c).startswith("<"):  # letters in other forms: mathematical, circled, raised and so on
+            plain = unicodedata.normalize("NFKC", c)
+            if len(plain) == 1 and plain.isascii() and plain.isalpha():
+                found[ord(c)] = plain
     found[0xAD] = ""
     return found | {ord(a): b for a, b in zip(LOOK_ALIKES[::2], LOOK_ALIKES[1::2], strict=True)}
 
@@ -112,9 +116,16 @@ _DIGIT = "(?ai:" + "|".join(DIGIT_WORDS) + ")"  # ASCII letters of either case o
 _SPELLED = re.compile(rf"(?<![^\W\d_]){_DIGIT}(?:[ ,-]{{0,2}}(?:{_DIGIT}|[0-9]))+(?![^\W\d_])")
 _ONE_DIGIT = re.compile(rf"({_DIGIT})|[ ,-]+")
 _PLUS = re.compile(rf"(?<![^\W\d_])(?ai:plus)[ ]{{1,2}}(?=[0-9]|{_DIGIT}(?![^\W\d_]))")
-_BRACKETED = re.compile(r"[ \t]{0,3}[\[({<][ \t]{0,3}(at|dot|[@.])[ \t]{0,3}[\])}>][ \t]{0,3}", re.I)
-_SPELLED_AT = re.compile(r"(?<=[A-Za-z0-9])([ \t]{1,3}(?:at|@)[ \t]{1,3})[A-Za-z0-9-]{1,63}((?:[ \t]{1,3}dot[ \t]{1,3}[A-Za-z0-9-]{1,63}){1,8})", re.I)
-_SPELLED_DOT = re.compile(r"[ \t]{1,3}dot[ \t]{1,3}", re.I)
+_IN_BRACKETS = r"[ \t]{0,3}[\[({<][ \t]{0,3}(%s)[ \t]{0,3}[\])}>][ \t]{0,3}"
+_BRACKETED = re.compile(_IN_BRACKETS % "at|dot|[@.]", re.I | re.A)
+_LABEL = "[A-Za-z0-9-]{1,63}+"
+_DOT_WORD = r"[ \t]{1,3}dot[ \t]{1,3}"
+_HIDDEN_DOT = _IN_BRACKETS.replace("(%s)", r"(?:dot|\.)") + "|" + _DOT_WORD
+# a plain "at" needs a domain with a disguised point; an "@" between blanks one that ends in letters
+_SPELLED_AT = re.compile(rf"(?<=[A-Za-z0-9])([ \t]{{1,3}}(?:at|@)[ \t]{{1,3}}){_LABEL}(?:\.{_LABEL}){{0,8}}(?:{_HIDDEN_DOT})[A-Za-z0-9-]", re.I | re.A)
+_SPACED_SIGN = re.compile(rf"(?<=[A-Za-z0-9])([ \t]{{1,3}}@[ \t]{{1,3}}){_LABEL}(?:\.[A-Za-z0-9-]{{1,63}}+(?=\.[A-Za-z0-9-])){{0,8}}\.[A-Za-z]{{2,63}}(?![A-Za-z0-9-])", re.A)
+_SPELLED_DOTS = re.compile(rf"(?<=[A-Za-z0-9._%+-])@{_LABEL}((?:\.{_LABEL}){{0,8}}(?:{_DOT_WORD}{_LABEL}(?:\.{_LABEL}){{0,8}}){{1,8}})", re.I | re.A)
+_SPELLED_DOT = re.compile(_DOT_WORD, re.I | re.A)
 _DOTTED_DIGITS = re.compile(r"(?<=[0-9])[ \t]{1,3}(?ai:dot|point)[ \t]{1,3}(?=[0-9])")
 
 Edit = tuple[int, int, str]
@@ -190,15 +201,20 @@ def _spelled(text: str) -> list[Edit]:
     return edits
 
 
-def _signs(text: str) -> list[Edit]:
+def _ats(text: str) -> list[Edit]:
     """Each pattern runs only on texts that hold a sign or word which it cannot do without."""
+    edits, low = [], text.lower()
+    if "dot" in low or any(c in text for c in "[({<"):
+        edits += [(*m.span(1), "@") for m in _SPELLED_AT.finditer(text)]
+    if " @" in text or "\t@" in text:
+        edits += [(*m.span(1), "@") for m in _SPACED_SIGN.finditer(text)]
+    return edits
+
+
+def _signs(text: str) -> list[Edit]:
     edits, low = [], text.lower()
     if any(c in text for c in "[({<"):
         edits += [(m.start(), m.end(), "@" if m.group(1).lower() in ("at", "@") else ".") for m in _BRACKETED.finditer(text)]
-    if "dot" in low:
-        for m in _SPELLED_AT.finditer(text):
-            edits.append((*m.span(1), "@"))
-            edits += [(d.start(), d.end(), ".") for d in _SPELLED_DOT.finditer(text, *m.span(2))]
     if "dot" in low or "point" in low:
         edits += [(m.start(), m.end(), ".") for m in _DOTTED_DIGITS.finditer(text)]
     if "plus" in low:
@@ -206,6 +222,14 @@ def _signs(text: str) -> list[Edit]:
     return edits
 
 
+def _dots(text: str) -> list[Edit]:
+    edits = []
+    if "@" in text and "dot" in text.lower():
+        for m in _SPELLED_DOTS.finditer(text):
+            edits += [(d.start(), d.end(), ".") for d in _SPELLED_DOT.finditer(text, *m.span(1))]
+    return edits
+
+
 def _apart(edits: list[Edit]) -> list[Edit]:
     out: list[Edit] = []
     for e in sorted(edits):
@@ -215,15 +239,19 @@ def _apart(edits: list[Edit]) -> list[Edit]:
 
 
 def normalise(text: str) -> Mapped:
-    """Characters first, then spelled digits, then signs: three transducers in a row, offsets composed."""
+    """Characters first, then spelled digits, then signs (plain "at", all others, "dot" in domains): five transducers in a row,
+    offsets composed."""
     m = Mapped(text)
     if not text.isascii() and not _REPLACED.keys().isdisjoint(set(text)):
         m = m.edited([(k, k + 1, _REPLACED[c]) for k, c in enumerate(text) if c in _REPLACED])
     edits = _spelled(m.text)
     if edits:
         m = m.edited(edits)
-    edits = _apart(_signs(m.text))
-    return m.edited(edits) if edits else m
+    for signs in (_ats, _signs, _dots):
+        edits = _apart(signs(m.text))
+        if edits:
+            m = m.edited(edits)
+    return m
 
 
 def spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:

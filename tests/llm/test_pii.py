@@ -69,3 +69,25 @@ def test_rows(spark, documents):
     odd = spark.createDataFrame([(None, None), (1, ""), (1, "x@y.zz"), (1, "x@y.zz")], "n_email long, text string")
     assert Counter((r.row.n_email, r.spans) for r in pii.find_personal_data(odd).collect()) == Counter([(None, ""), (1, ""), (1, "email:0:6"), (1, "email:0:6")])
     assert pii.find_personal_data(odd.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("at", ["@", " @ ", "[at]", " [at] ", "(at)", " at ", " AT "])
+@pytest.mark.parametrize("first", [".", "[dot]", " (dot) ", " dot ", " Dot "])
+@pytest.mark.parametrize("second", ["", ".", " [dot] ", " dot "])
+def test_mixed_disguises(at, first, second):
+    address = f"jane{at}example{first}" + (f"co{second}uk" if second else "com")
+    base, added = spans(f"Mail {address}, now")
+    plain = at.strip().lower() == "at" and first == "." and second in ("", ".")  # "look at example.com" is no address
+    assert ((0, 5, 5 + len(address)) in base + added) != plain
+
+
+@pytest.mark.parametrize("word", ["𝐣𝐚𝐧𝐞@𝐞𝐱𝐚𝐦𝐩𝐥𝐞.𝐜𝐨𝐦", "ⓙⓐⓝⓔ@example.com", "𝓳𝓪𝓷𝓮 [𝓪𝓽] ⒺⓍⒶⓂⓅⓁⒺ dot 𝕔𝕠𝕞"])
+def test_letters_in_other_forms(word):
+    assert (0, 2, 2 + len(word)) in spans(f"x {word}")[1]
+
+
+def test_signs_of_clean_texts():
+    for text in ("5 apples @ 2.50 each", "look at example.com", "meet at noon. The dot is red", "a dot at b", "we are at school (room 4)", "x @ y"):
+        assert spans(text) == ([], []), text
+    for unit in ("@a dot ", " at a.", "a @ a.", "a at a (dot", "@a.a"):
+        spans(unit * (400_000 // len(unit)))
