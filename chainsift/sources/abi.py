@@ -15,6 +15,7 @@ and turned into registry rows with higher-order functions:
 
 from __future__ import annotations
 
+import json
 import os
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -24,24 +25,13 @@ from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, S
 from ..functions.udfs import keccak_topic
 from ..registry import REGISTRY_SCHEMA, Registry
 
-ABI_COMPONENT = StructType(
-    [
-        StructField("internalType", StringType()),
-        StructField("name", StringType()),
-        StructField("type", StringType()),
-        StructField(
-            "components",
-            ArrayType(StructType([StructField("name", StringType()), StructField("type", StringType())])),
-        ),
-    ]
-)
 ABI_INPUT = StructType(
     [
         StructField("indexed", BooleanType()),
         StructField("internalType", StringType()),
         StructField("name", StringType()),
         StructField("type", StringType()),
-        StructField("components", ArrayType(ABI_COMPONENT)),
+        StructField("components", StringType()),  # JSON text: tuples nest to any depth
     ]
 )
 ABI_ENTRY = StructType(
@@ -81,26 +71,28 @@ def _invalid_inputs(ev: DataFrame) -> DataFrame:
     return ev.where(bad)
 
 
-def _canonical(t, components, inner=None):
-    """ABI canonical type: ``tuple`` / ``tuple[..]`` become ``(component types)`` + suffix."""
-    comps = F.coalesce(components, F.array())
-    inner_types = F.transform(comps, inner) if inner is not None else F.transform(comps, lambda c: c["type"])
-    expanded = F.concat(F.lit("("), F.array_join(inner_types, ","), F.lit(")"), F.substring(t, 6, 1 << 20))
-    return F.when(t.startswith("tuple") & (F.size(comps) > 0), expanded).otherwise(t)
+def _canonical_type(kind: str, components: list | None) -> str:
+    """ABI canonical type: ``tuple`` / ``tuple[..]`` become ``(component types)`` + suffix, to any depth."""
+    if not kind.startswith("tuple") or not components:
+        return kind
+    return "(" + ",".join(_canonical_type(c["type"], c.get("components")) for c in components) + ")" + kind[5:]
+
+
+@F.udf(ArrayType(StringType()))
+def _canonical_all(kinds, components):
+    return [k and _canonical_type(k, json.loads(c) if c else None) for k, c in zip(kinds, components, strict=True)]
 
 
 def registry_table(ev: DataFrame, semantics: str = "reference") -> DataFrame:
     """Registry rows (``REGISTRY_SCHEMA`` + ``file``) from an ``abi_events`` table.
 
     ``reference`` hashes tuple inputs as the literal ``tuple`` (as the reference
-    does, giving a topic0 no node emits); ``abi`` expands the components (two levels).
+    does, giving a topic0 no node emits); ``abi`` expands the components to any depth.
     """
     inputs = F.coalesce(F.col("inputs"), F.array().cast(ArrayType(ABI_INPUT)))
+    types = F.transform(inputs, lambda x: x["type"])
     if semantics == "abi":
-        types = F.transform(inputs, lambda x: _canonical(
-            x["type"], x["components"], lambda c: _canonical(c["type"], c["components"])))
-    else:
-        types = F.transform(inputs, lambda x: x["type"])
+        types = _canonical_all(types, F.transform(inputs, lambda x: x["components"]))
     sig = F.concat(F.col("name"), F.lit("("), F.array_join(types, ","), F.lit(")"))
     indexed = F.filter(inputs, lambda x: x["indexed"])
     plain = F.filter(inputs, lambda x: ~x["indexed"])

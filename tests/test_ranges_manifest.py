@@ -118,3 +118,24 @@ def test_abi_tuple_signatures(spark):
     abi = registry_from_abi(spark, os.path.join(path, "x.json"), "abi")
     assert list(ref.specs) == [keccak256_hex("Order(address,tuple)")]
     assert list(abi.specs) == [keccak256_hex("Order(address,(uint256,(address,bytes32)[]))")]
+
+
+def test_abi_tuples_of_any_depth(spark):
+    import json
+
+    from chainsift.functions.keccak import keccak256_hex
+
+    leaf = [{"name": "x", "type": "address"}, {"name": "y", "type": "bytes32"}]
+    nested, kind = leaf, "(address,bytes32)"
+    for level in range(4):
+        suffix = "[2]" if level % 2 else ""
+        nested, kind = [{"name": "n", "type": "uint256"}, {"name": "t", "type": f"tuple{suffix}", "components": nested}], f"(uint256,{kind}{suffix})"
+    entry = {"type": "event", "name": "Deep", "anonymous": False, "inputs": [
+        {"indexed": True, "internalType": "address", "name": "who", "type": "address"},
+        {"indexed": False, "internalType": "struct S[]", "name": "s", "type": "tuple[]", "components": nested}]}
+    path = scratch_path(spark, "abi-deep")
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, "x.json"), "w") as f:
+        json.dump([entry], f)
+    abi = registry_from_abi(spark, os.path.join(path, "x.json"), "abi")
+    assert list(abi.specs) == [keccak256_hex(f"Deep(address,{kind}[])")]
