@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, cotraining, decontaminate, fingerprint, jaccard, lines, pii, sharding, tokencount, warc
+from . import bpe, cotraining, decontaminate, divergence, fingerprint, jaccard, lines, neighbours, pii, sharding, tokencount, trie, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +21,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc": warc.op8_warc,
         "op9_bpe": bpe.op9_bpe,
         "op10_ngram_jaccard": jaccard.op10_ngram_jaccard,
+        "op11_divergence": divergence.op11_divergence,
+        "op12_trie": trie.op12_trie,
+        "op13_neighbours": neighbours.op13_neighbours,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_warc": warc.OP8_SQL}
+    return {"op8_warc": warc.OP8_SQL, "op11_divergence": divergence.OP11_SQL, "op12_trie": trie.OP12_SQL}
