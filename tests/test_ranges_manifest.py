@@ -33,7 +33,7 @@ def test_merge_subtract_chunk_match_models(spark):
         s = rng.randrange(0, 3000)
         ivs.append((s, s + rng.randrange(0, 40)))
     df = spark.createDataFrame(ivs, "from_block long, to_block long")
-    merged = sorted(tuple(r) for r in G.merge(df, bucket=128).collect())
+    merged = sorted(tuple(r) for r in G.merge(df).collect())
     assert merged == runs_of(blocks(ivs))
     gaps = sorted(tuple(r) for r in G.subtract(df, 100, 2900).collect())
     want = blocks([(100, 2900)]) - blocks(ivs)
@@ -44,6 +44,34 @@ def test_merge_subtract_chunk_match_models(spark):
     assert grid == [(5, 14), (15, 24), (25, 27)]
 
 
+@pytest.mark.parametrize("whole", [True, False])
+def test_sweeps_by_key_over_many_partitions(spark, whole):
+    rng = random.Random(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", str(whole).lower())
+    try:
+        ivs = [(rng.choice(["a", "b", "c"]), s, s + rng.choice([0, 3, 30, 700])) for s in (rng.randrange(0, 9000) for _ in range(400))]
+        ivs += [("a", 10, 5)]  # empty
+        df = spark.createDataFrame(ivs, "topic string, from_block long, to_block long").repartition(5)
+        own = {k: blocks([(s, e) for t, s, e in ivs if t == k]) for k in "abcd"}
+        merged = sorted(tuple(r) for r in G.merge(df, ("topic",)).collect())
+        assert merged == [(k, *r) for k in "abc" for r in runs_of(own[k])]
+        every = spark.createDataFrame([("a",), ("b",), ("d",)], "topic string")
+        gaps = sorted(tuple(r) for r in G.subtract(df, 50, 8000, every).collect())
+        assert gaps == [(k, *r) for k in "abd" for r in runs_of(set(range(50, 8001)) - own[k])]
+        seeds = G.topic_seeds(df, ["a", "b", "d"], 50, 8000, 40).collect()
+        open_at = {}
+        for r in seeds:
+            assert r.to_block - r.from_block < 40
+            for x in range(r.from_block, r.to_block + 1):
+                assert x not in open_at
+                open_at[x] = set(r["keys"])
+        for x in range(50, 8001):
+            assert open_at.get(x, set()) == {k for k in "abd" if x not in own[k]}
+        assert G.topic_seeds(df, ["a"], 10, 9, 5).collect() == []
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_bisect_rules(spark):
     df = spark.createDataFrame([(10, 10, 1), (10, 13, 1), (20, 21, 3)], "from_block long, to_block long, attempts int")
     got = sorted((r["from_block"], r["to_block"]) for r in G.bisect(df, max_attempts=3).collect())
