@@ -379,16 +379,26 @@ def q_write_per_event(spark, sf):
 
     path = scratch_path(spark, "per-event")
     write_per_event(D.decode(lake(spark, sf, "events"), R.builtin_registry()), path, rows_per_shard=500)
-    return spark.read.parquet(path).where(F.col("event").isin("Mint", "Deposit"))
+    return spark.read.parquet(path)
 
 
 def q_shards_per_event(spark, sf):
-    from .sinks.shards import write_per_event
+    from .sinks.shards import shard_sizes, write_per_event
 
     path = scratch_path(spark, "per-event")
     write_per_event(D.decode(lake(spark, sf, "events"), R.builtin_registry()), path, rows_per_shard=500)
-    files = spark.read.parquet(path).select("event", F.col("_metadata.file_path").alias("f"))
-    return files.groupBy("event").agg(F.count_distinct("f").alias("files"))
+    return shard_sizes(spark, path, ("event",)).groupBy("event").agg(F.count(F.lit(1)).alias("files"))
+
+
+def q_shard_sizes(spark, sf):
+    """Rows of each shard file after two appends, the second of which tops up the first one's last shard."""
+    from .sinks.shards import compact_tail, shard_sizes
+
+    path = scratch_path(spark, "shard-sizes")
+    rows = D.decode(lake(spark, sf, "events"), R.clpool_registry())
+    for half in (0, 1):
+        compact_tail(spark, path, rows.where(F.col("log_index") % 2 == half), 500)
+    return shard_sizes(spark, path).select("rows")
 
 
 def q_raw_dump(spark, sf):
@@ -494,6 +504,56 @@ def q_pipeline_journal(spark, sf):
     return G.merge(done_coverage(spark, res.manifest_path, pattern="*.json"))
 
 
+def q_pipeline_crash_named(spark, sf):
+    """A named run is lost between data and journal and started again under its name: every row once."""
+    from unittest.mock import patch
+
+    from .plans import pipeline as P
+
+    a, out = lake(spark, sf, "events"), scratch_path(spark, "pipeline-crash")
+    with patch.object(P, "append_manifest", side_effect=RuntimeError("lost before the journal")):
+        try:
+            P.run(spark, a, R.clpool_registry(), out, step=200, run_id="daily")
+        except RuntimeError:
+            pass
+    res = P.run(spark, a, R.clpool_registry(), out, step=200, run_id="daily")
+    return P.read_decoded(spark, res.data_path).drop("run_id")
+
+
+def q_pipeline_two_registries(spark, sf):
+    """A dataset of one registry is extended by a second that holds the first: only the new topics are decoded, every row once."""
+    from .plans.pipeline import read_decoded, run
+
+    a, out = lake(spark, sf, "events"), scratch_path(spark, "pipeline-two")
+    for registry in (R.clpool_registry(), R.builtin_registry()):
+        res = run(spark, a, registry, out, step=200)
+    return read_decoded(spark, res.data_path).drop("run_id")
+
+
+def q_pipeline_failed_ranges(spark, sf):
+    """Every 97th block is malformed and ``on_error="fail"``: failing chunks go to halves down to that block, the rest is kept."""
+    from .plans.pipeline import read_decoded, run
+
+    a, out = lake(spark, sf, "events"), scratch_path(spark, "pipeline-failed")
+    bad = a.withColumn("data", F.when(F.col("block_number") % 97 == 0, F.lit("0xzz")).otherwise(F.col("data")))
+    res = run(spark, bad, R.clpool_registry(), out, step=200, on_error="fail")
+    return read_decoded(spark, res.data_path).drop("run_id")
+
+
+def q_pipeline_records(spark, sf):
+    """All counters of the journal after one run, maps as text."""
+    from .plans.pipeline import journal, run
+
+    a, out = lake(spark, sf, "events"), scratch_path(spark, "pipeline-records")
+    lo = a.agg(F.min("block_number")).first()[0]
+    run(spark, a, R.builtin_registry(), out, int(lo), "latest", step=50, run_id="run-1", rows_per_shard=500)
+    text = lambda c: F.array_join(F.transform(F.sort_array(F.map_entries(c)), lambda x: F.concat(x["key"], F.lit("="), x["value"].cast("string"))), ",")
+    return journal(spark, out).select(
+        "run_id", "from_block", "to_block", "status", "attempts", "error", "logs", "decoded", "filtered", "shards",
+        F.coalesce(text(F.col("shards_written")), F.lit("")).alias("shards_written"), F.coalesce(text(F.col("rows_per_event")), F.lit("")).alias("rows_per_event"),
+        (F.col("updated_at") > 0).alias("dated"))
+
+
 def q_stream_decode(spark, sf):
     """availableNow file stream over the lake, two files per micro-batch, decoded per batch."""
     from .streaming.stream import stream_decode_files

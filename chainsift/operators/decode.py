@@ -307,9 +307,13 @@ def decode(
     on_error: str = "quarantine",
     keep_reason: bool = False,
     lower_case: bool = False,
+    tags: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Decode ``raw_logs`` rows with ``registry`` into the wide decoded table.
 
+    With ``tags`` (columns over the raw logs and ``filter_reason``, by name) every log stays, one pass for all that is told of it: the tags and
+    the reason follow the decoded columns, which are null in logs that are not decoded.
+
     Output: ``block_number, block_timestamp, tx_hash, log_index, contract, event``
     then one string column per projection key of the registry, sorted by name.
     """
@@ -329,11 +333,19 @@ def decode(
                                        F.coalesce(F.col("tx_hash"), F.lit("?")))),
             ).isNull()
         )
-    df = df.where(F.col(_REASON).isNull())
+    if tags is None:
+        df = df.where(F.col(_REASON).isNull())
+    else:  # dropped logs lose their topic, so no conversion looks at them; the generator keeps the reason computed once
+        kept = F.col(_REASON).isNull()
+        fields = {_T0: F.when(kept, F.col(_T0)), "address": F.when(kept, F.col("address")), _REASON: F.col(_REASON)} | tags
+        columns = [c for c in df.columns if c not in fields]
+        df = df.select(*columns, F.inline(F.array(F.struct(*[c.alias(n) for n, c in fields.items()]))))
+        keep_reason = True
     names, conv, values, int_pairs = _cached("values", registry, semantics, lambda: _values(registry, outs, semantics))
     # stage 1: each distinct conversion once (JVM fast path + leftover input for the UDF)
     keep = ["block_number", "block_timestamp", "tx_hash", "log_index", "address", "topics", *_PREP]
     keep += [_REASON] if keep_reason else []
+    keep += list(tags or ())
     # Behind a one-row generator each conversion is evaluated once; as plain aliases
     # CollapseProject would inline them into every CASE branch that uses them.
     fast, slow = conv
@@ -355,7 +367,7 @@ def decode(
         (names if names is not None else F.lit(None).cast("string")).alias("event"),
     ]
     cols += values
-    extra = [F.col(_REASON)] if keep_reason else []
+    extra = [F.col(c) for c in ([_REASON] if keep_reason else []) + list(tags or ())]
     return staged.select(*cols, *extra)
 
 

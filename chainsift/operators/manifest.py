@@ -24,8 +24,8 @@ def pending_chunks(chunks: DataFrame, manifest: DataFrame, rerun_failed: bool =
     return chunks.join(done, [FROM, TO], "left_anti")
 
 
-def assign_chunks(logs: DataFrame, chunks: DataFrame, bucket: int, n_chunks: int | None = None) -> DataFrame:
-    """Attach ``chunk_from, chunk_to`` to each log whose block lies in a chunk (range join).
+def assign_chunks(logs: DataFrame, chunks: DataFrame, bucket: int, n_chunks: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Attach ``chunk_from, chunk_to`` (and the chunk's ``carry`` columns) to each log whose block lies in a chunk (range join).
 
     Chunks are disjoint intervals no longer than ``bucket`` blocks.  Each chunk is
     listed under the (at most two) buckets ``floor(block / bucket)`` it touches, so
@@ -33,7 +33,7 @@ def assign_chunks(logs: DataFrame, chunks: DataFrame, bucket: int, n_chunks: int
     chunk table is broadcast only when its row count is known to be small;
     otherwise both sides shuffle on the bucket.
     """
-    c = chunks.select(F.col(FROM).alias("chunk_from"), F.col(TO).alias("chunk_to"))
+    c = chunks.select(F.col(FROM).alias("chunk_from"), F.col(TO).alias("chunk_to"), *carry)
     c = c.withColumn(
         "_bk",
         F.explode(F.sequence(F.floor(F.col("chunk_from") / bucket), F.floor(F.col("chunk_to") / bucket))),

@@ -271,7 +271,10 @@ WHERE user_id % 3 = 0 AND kind IN ('Mint', 'missing', 'Burn', 'short') AND block
 SELECT m + ((block_number - m) // 50) * 50 AS chunk_from, {KEYS} FROM a, mn"""
     q["write_shards"] = q["decode_clpool"]
     q["compact_tail"] = q["decode_clpool"]
-    q["write_per_event"] = f"WITH {A} SELECT * FROM ({builtin_rows()}) WHERE event IN ('Mint', 'Deposit')"
+    q["write_per_event"] = f"WITH {A} SELECT * FROM ({builtin_rows()})"
+    q["shards_per_event"] = f"WITH {A} SELECT event, CAST(ceil(count(*) / 500.0) AS BIGINT) AS files FROM ({builtin_rows()}) GROUP BY event"
+    q["shard_sizes"] = f"""WITH {A}, n AS (SELECT count(*) AS n FROM ({clpool_rows()}))
+SELECT CAST(least(500, n - i * 500) AS BIGINT) AS rows FROM n, unnest(range(0, CAST(ceil(n / 500.0) AS BIGINT))) AS t(i)"""
     q["raw_dump"] = f"""WITH {A}, mn AS (SELECT min(block_number) AS m FROM a)
 SELECT m + ((block_number - m) // 50) * 50 AS chunk_from, {KEYS} FROM a, mn"""
     ranked = f"(SELECT {KEYS}, row_number() OVER (ORDER BY block_number, tx_hash, log_index) - 1 AS rn FROM a)"
@@ -289,6 +292,21 @@ FROM c LEFT JOIN a ON a.block_number BETWEEN c.from_block AND c.to_block GROUP B
     q["dataset_key"] = f"WITH {A} SELECT {ADDR_LC} AS address, {ADDR_LC} || '__topics-' || {fp} AS dataset_key FROM a GROUP BY 1"
     q["pipeline_run"] = q["decode_clpool"]
     q["stream_decode"] = q["decode_clpool"]
+    q["pipeline_crash_named"] = q["decode_clpool"]
+    q["pipeline_two_registries"] = f"WITH {A} SELECT * FROM ({builtin_rows()})"
+    q["pipeline_failed_ranges"] = f"WITH {A} SELECT * FROM ({clpool_rows()}) WHERE block_number % 97 <> 0"
+    q["pipeline_records"] = f"""WITH {A}, {evc}, d AS (
+  SELECT block_number, event, (row_number() OVER (ORDER BY block_number, tx_hash, log_index) - 1) // 500 AS shard FROM ({builtin_rows()})),
+e AS (SELECT c.from_block, event, count(*) AS n, count(DISTINCT shard) AS files FROM d JOIN c ON block_number BETWEEN c.from_block AND c.to_block GROUP BY ALL),
+m AS (SELECT from_block, string_agg(event || '=' || files, ',' ORDER BY event) AS shards_written, string_agg(event || '=' || n, ',' ORDER BY event) AS rows_per_event
+      FROM e GROUP BY 1),
+f AS (SELECT c.from_block, count(DISTINCT shard) AS shards FROM d JOIN c ON block_number BETWEEN c.from_block AND c.to_block GROUP BY 1)
+SELECT 'run-1' AS run_id, c.from_block, c.to_block, 'done' AS status, CAST(1 AS INTEGER) AS attempts, NULL::VARCHAR AS error, count(a.event_id) AS logs,
+  count(a.event_id) FILTER (WHERE ({A_REASON}) IS NULL) AS decoded, count(a.event_id) FILTER (WHERE ({A_REASON}) IS NOT NULL) AS filtered,
+  coalesce(any_value(f.shards), 0) AS shards, coalesce(any_value(m.shards_written), '') AS shards_written,
+  coalesce(any_value(m.rows_per_event), '') AS rows_per_event, true AS dated
+FROM c LEFT JOIN a ON a.block_number BETWEEN c.from_block AND c.to_block LEFT JOIN m ON m.from_block = c.from_block LEFT JOIN f ON f.from_block = c.from_block
+GROUP BY 2, 3"""
     clp = ["amount0", "amount1", "liquidity", "owner", "recipient", "sender", "tick_lower", "tick_upper"]
     q["join_registry_map"] = (f"WITH {A} SELECT {BASE}, event, field, value FROM ({clpool_rows()}) "
                               f"UNPIVOT (value FOR field IN ({', '.join(clp)}))")

@@ -1,53 +1,84 @@
 """Sharded Parquet output of decoded tables.
 
-* ``write_shards``     -- files of at most ``rows_per_shard`` rows, range-clustered and
-  sorted by ``(block_number, tx_hash, log_index)``, zstd.
-* ``write_per_event``  -- same, one directory per event (``partitionBy("event")``);
-  range partitioning on ``(event, block_number)`` splits a hot event over many tasks.
-* ``assign_shards``    -- exact global row index / shard id in sort order, without a
-  single-partition window: range-partition + sort, checkpoint (so the partitioning is
-  fixed), count rows per partition (one small row per partition), prefix-sum offsets.
+* ``sorted_files`` / ``numbered`` -- rows sorted into files, and each row's exact position in the whole order (or within its
+  group): the counts of earlier files plus the row's index in its own file.  No window over rows, no checkpoint.
+* ``write_shards``     -- files of exactly ``rows_per_shard`` rows (the last one the rest), sorted by
+  ``(block_number, tx_hash, log_index)``, zstd.
+* ``write_per_event``  -- same, one directory per event (``partitionBy("event")``), each cut by itself.
+* ``assign_shards``    -- position and shard id as columns.
 * ``full_shards_only`` -- rows that fill complete shards; the remainder stays pending.
-* ``compact_tail``     -- rewrite under-full files together with new rows: staged, recorded,
-  moved in, then the old files dropped; ``recover`` completes or undoes what a crash left.
-* ``read_shards``      -- read back with schema merging and UINT_64 -> long.
+* ``compact_tail``     -- append to a sharded table: its under-full shards are re-written together with the new rows and
+  one published generation replaces them (see ``snapshots``); ``recover`` publishes what a crash left decided.
+* ``read_shards``      -- the newest generation (or a plain folder), schema merging, UINT_64 -> long.
 """
 
 from __future__ import annotations
 
 import math
-import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..schema import ROW_ORDER
+from ..session import scratch_path
+from . import snapshots
 
 DEFAULT_ROWS_PER_SHARD = 250_000
-STAGING, COMMIT = "_staging-", "_commit-"  # hidden from readers by their first character
+BYTES_PER_TASK = 256 << 20
 
 
 def _parts(df: DataFrame, rows_per_shard: int, num_rows: int | None) -> int:
-    if num_rows is None:
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, math.ceil(num_rows / rows_per_shard))
+    """Partitions of an exchange: by rows if their number is known, else by the bytes of the scans below, at least the session's."""
+    if num_rows is not None:
+        return max(1, math.ceil(num_rows / rows_per_shard))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    known = sum(x for x in sizes if x < 1 << 60)  # a source that tells no size counts as nothing
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), known // BYTES_PER_TASK)
+
+
+def sorted_files(df: DataFrame, order: list[str], rows_per_shard: int = DEFAULT_ROWS_PER_SHARD, num_rows: int | None = None) -> str:
+    """Write ``df`` sorted, one file per range partition; returns the scratch path."""
+    path = scratch_path(df.sparkSession, "sorted")
+    df.repartitionByRange(_parts(df, rows_per_shard, num_rows), *order).sortWithinPartitions(*order).write.option("compression", "zstd").parquet(path)
+    return path
+
+
+def numbered(spark: SparkSession, path: str, schema, group: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of ``sorted_files`` (sorted by ``group`` first) with ``row_idx``, their 0-based position within the group."""
+    rows = spark.read.schema(schema).parquet(path).select(
+        "*", F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("int").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    files = rows.groupBy(*group, "_file").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first")).collect()  # a row per file (and group in it)
+    offsets, so_far = [], {}
+    for r in sorted(files, key=lambda r: r["_file"]):
+        key = tuple(r[g] for g in group)
+        offsets.append((*key, r["_file"], so_far.get(key, 0) - r["_first"]))
+        so_far[key] = so_far.get(key, 0) + r["_n"]
+    types = [f"`{g}` {schema[g].dataType.simpleString()}" for g in group]
+    small = spark.createDataFrame(offsets, ", ".join([*types, "_file int", "_offset long"]))
+    return rows.join(small, [*group, "_file"]).withColumn("row_idx", F.col("_row") + F.col("_offset")).drop("_file", "_row", "_offset")
+
+
+def _write_cut(df: DataFrame, path: str, rows_per_shard: int, mode: str, num_rows: int | None, group: tuple[str, ...]) -> str:
+    spark = df.sparkSession
+    order = [*group, *ROW_ORDER]
+    stage = sorted_files(df, order, rows_per_shard, num_rows)
+    n = _parts(spark.read.schema(df.schema).parquet(stage), rows_per_shard, num_rows)
+    rows = numbered(spark, stage, df.schema, group).withColumn("_shard", F.floor(F.col("row_idx") / rows_per_shard))
+    # each task gets whole shards in order, so the limit cuts exactly between them
+    out = rows.repartition(n, *group, "_shard").sortWithinPartitions(*group, "_shard", "row_idx").drop("_shard", "row_idx")
+    writer = out.write.mode(mode).option("maxRecordsPerFile", rows_per_shard).option("compression", "zstd")
+    (writer.partitionBy(*group) if group else writer).parquet(path)
+    snapshots.delete(spark, stage)
+    return path
 
 
 def write_shards(
     decoded: DataFrame, path: str, rows_per_shard: int = DEFAULT_ROWS_PER_SHARD, mode: str = "append",
     num_rows: int | None = None,
 ) -> str:
-    n = _parts(decoded, rows_per_shard, num_rows)
-    (
-        decoded.repartitionByRange(n, *ROW_ORDER)
-        .sortWithinPartitions(*ROW_ORDER)
-        .write.mode(mode)
-        .option("maxRecordsPerFile", rows_per_shard)
-        .option("compression", "zstd")
-        .parquet(path)
-    )
-    return path
+    return _write_cut(decoded, path, rows_per_shard, mode, num_rows, ())
 
 
 def event_dir(c: Column) -> Column:
@@ -59,55 +90,37 @@ def write_per_event(
     decoded: DataFrame, path: str, rows_per_shard: int = DEFAULT_ROWS_PER_SHARD, mode: str = "append",
     num_rows: int | None = None,
 ) -> str:
-    n = _parts(decoded, rows_per_shard, num_rows)
-    df = decoded.withColumn("event", event_dir(F.col("event")))
-    (
-        df.repartitionByRange(n, "event", *ROW_ORDER)
-        .sortWithinPartitions("event", *ROW_ORDER)
-        .write.mode(mode)
-        .partitionBy("event")
-        .option("maxRecordsPerFile", rows_per_shard)
-        .option("compression", "zstd")
-        .parquet(path)
-    )
-    return path
+    return _write_cut(decoded.withColumn("event", event_dir(F.col("event"))), path, rows_per_shard, mode, num_rows, ("event",))
 
 
-def read_shards(spark: SparkSession, path: str) -> DataFrame:
-    """All shards under ``path`` with the union schema; unsigned 64-bit ints read as long."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+def _as_long(df: DataFrame) -> DataFrame:
     for f in df.schema.fields:
         if f.name in ("block_number", "block_timestamp", "log_index") and isinstance(f.dataType, DecimalType):
             df = df.withColumn(f.name, F.col(f.name).cast("long"))
     return df
 
 
+def read_shards(spark: SparkSession, path: str) -> DataFrame:
+    """All live shards under ``path`` with the union schema; unsigned 64-bit ints read as long."""
+    live = snapshots.read(spark, path)
+    return _as_long(live if live is not None else spark.read.option("mergeSchema", "true").parquet(path))
+
+
+def shard_sizes(spark: SparkSession, path: str, group: tuple[str, ...] = ()) -> DataFrame:
+    """``(*group, file, rows)`` of the shards under ``path`` (from the files, not from what was asked for)."""
+    rows = read_shards(spark, path)
+    return rows.select(*group, F.col("_metadata.file_path").alias("file")).groupBy(*group, "file").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def assign_shards(df: DataFrame, rows_per_shard: int, tail_rows: int = 0, partitions: int | None = None) -> DataFrame:
     """Add ``row_idx`` (0-based position in ``ROW_ORDER``) and ``shard_id``.
 
     ``shard_id = floor((tail_rows + row_idx) / rows_per_shard)``: ``tail_rows`` rows
     already sit in the open shard of an earlier run.
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pid = F.spark_partition_id()
-    ordered = (
-        df.repartitionByRange(n, *ROW_ORDER)
-        .sortWithinPartitions(*ROW_ORDER)
-        .withColumn("_pid", pid)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .checkpoint(eager=True)
-    )
-    counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per partition
-    offsets, acc = {}, 0
-    for r in sorted(counts, key=lambda r: r["_pid"]):
-        offsets[r["_pid"]] = acc
-        acc += r["n"]
-    off = F.create_map(*[x for k, v in offsets.items() for x in (F.lit(k), F.lit(v).cast("long"))]) if offsets else None
-    local = F.col("_mid") - (F.col("_pid").cast("long") * F.lit(1 << 33))
-    idx = (off[F.col("_pid")] + local) if off is not None else F.lit(0).cast("long")
-    out = ordered.withColumn("row_idx", idx.cast("long"))
-    out = out.withColumn("shard_id", F.floor((F.col("row_idx") + F.lit(tail_rows)) / F.lit(rows_per_shard)).cast("long"))
-    return out.drop("_pid", "_mid")
+    n = None if partitions is None else partitions * rows_per_shard
+    out = numbered(df.sparkSession, sorted_files(df, ROW_ORDER, rows_per_shard, n), df.schema)
+    return out.withColumn("shard_id", F.floor((F.col("row_idx") + F.lit(tail_rows)) / F.lit(rows_per_shard)).cast("long"))
 
 
 def full_shards_only(df: DataFrame, rows_per_shard: int, tail_rows: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -118,68 +131,73 @@ def full_shards_only(df: DataFrame, rows_per_shard: int, tail_rows: int = 0) ->
     return a.where(F.col("row_idx") < full_upto), a.where(F.col("row_idx") >= full_upto)
 
 
-def _jvm_fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm
+# ---------------------------------------------------------------- sharded tables
+
+
+def _adopted(spark: SparkSession, path: str) -> snapshots.Snapshot:
+    """The newest generation; files that lie in a plain folder become its first commit."""
+    snap = snapshots.latest(spark, path)
+    if snap.number or not (loose := [n for n in snapshots.names(spark, path) if n.startswith("part-")]):
+        return snap
+    commit = snapshots.new_commit(snap)
+    for n in loose:
+        snapshots.move(spark, f"{path}/{n}", f"{path}/commit={commit}/{n}")
+    return snapshots.publish(spark, path, snapshots.prepare(spark, path, snap.next([commit], [commit], [])))
+
+
+def stage_append(spark: SparkSession, path: str, snap: snapshots.Snapshot, new_rows: DataFrame, rows_per_shard: int,
+                 per_event: bool = False, final_partial: bool = True) -> tuple[list[str], list[str], list[str]]:
+    """Write ``new_rows``, together with the under-full shards of ``snap``, as commits that nobody reads yet.
+
+    Returns the commits to list, those that hold under-full shards, and the commits they replace.  Without
+    ``final_partial`` the under-full shards are kept for the next top-up but not listed: readers see full shards only."""
+    drop = list(snap.tails)
+    rows = new_rows
+    if drop:
+        rows = snapshots.read(spark, path, tuple(drop)).unionByName(new_rows, allowMissingColumns=True)
+    commit = snapshots.new_commit(snap)
+    folder = f"{path}/commit={commit}"
+    (write_per_event if per_event else write_shards)(rows, folder, rows_per_shard, mode="error")
+    group = ("event",) if per_event else ()
+    written = spark.read.option("basePath", path).parquet(folder) if any(n.startswith(("part-", "event=")) for n in snapshots.names(spark, folder)) else None
+    if written is None:
+        return [], [], drop
+    sizes = written.select(F.col("_metadata.file_path").alias("f")).groupBy("f").agg(F.count(F.lit(1)).alias("n"))
+    partial = [r["f"] for r in sizes.where(F.col("n") < rows_per_shard).collect()]  # one per event at most
+    n_files = sizes.count()
+    if not partial:
+        return [commit], [], drop
+    if len(partial) == n_files:
+        return [commit] if final_partial else [], [commit], drop
+    tail = snapshots.new_commit(snap)
+    for f in partial:
+        inside = f.split(f"commit={commit}/", 1)[1]
+        snapshots.move(spark, f"{folder}/{inside}", f"{path}/commit={tail}/{inside}")
+    return [commit, tail] if final_partial else [commit], [tail], drop
+
+
+def _finish(spark: SparkSession, path: str, record: str) -> None:
+    """Publish a decided compaction."""
+    snapshots.publish(spark, path, record)
 
 
-def _paths(spark: SparkSession, path: str) -> list:
-    fs, jvm = _jvm_fs(spark, path)
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return [f.getPath() for f in fs.listStatus(p)] if fs.exists(p) else []
-
+def recover(spark: SparkSession, path: str) -> None:
+    """Publish compactions that were decided before a crash; those that came too late are dropped."""
+    for name in snapshots.names(spark, path):
+        if name.startswith(snapshots.PREPARED) and not name.endswith(".part"):
+            try:
+                _finish(spark, path, name)
+            except snapshots.ConcurrentCommit:
+                pass
 
-def _finish(spark: SparkSession, path: str, commit: str) -> None:
-    """Carry out a recorded compaction; every step may have been done before."""
-    fs, jvm = _jvm_fs(spark, path)
-    at = jvm.org.apache.hadoop.fs.Path
-    record = f"{path}/{COMMIT}{commit}"
-    tail = [r["value"] for r in spark.read.text(record).collect()]
-    for f in _paths(spark, f"{path}/{STAGING}{commit}"):
-        if f.getName().startswith("part-"):
-            fs.rename(f, at(f"{path}/{f.getName()}"))
-    for f in tail:
-        if f:
-            fs.delete(at(f), False)
-    fs.delete(at(f"{path}/{STAGING}{commit}"), True)
-    fs.delete(at(record), True)
 
+def compact_tail(spark: SparkSession, path: str, new_rows: DataFrame, rows_per_shard: int, per_event: bool = False) -> list[str]:
+    """Append ``new_rows``, topping up under-full shards (schemas merged by name).  Returns the commits that were replaced.
 
-def recover(spark: SparkSession, path: str) -> None:
-    """Finish compactions whose record exists, drop staged files without one (a crash left them)."""
-    names = [p.getName() for p in _paths(spark, path)]
-    commits = [n[len(COMMIT):] for n in names if n.startswith(COMMIT)]
-    for c in commits:
-        _finish(spark, path, c)
-    fs, jvm = _jvm_fs(spark, path)
-    for n in names:
-        if n.startswith(STAGING) and n[len(STAGING):] not in commits:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}"), True)
-
-
-def compact_tail(spark: SparkSession, path: str, new_rows: DataFrame, rows_per_shard: int) -> list[str]:
-    """Append ``new_rows``, topping up under-full files: these are re-written together with the new rows
-    (schemas merged by name).  Returns the paths of the files that were replaced.
-
-    The new files are staged in a hidden folder, a record names the files they replace, and only then are
-    they moved in and the old ones deleted; ``recover`` finishes or drops what a crash left, so
-    no row is lost or doubled by the next call."""
+    Readers see the table before or after, never between; if another writer was faster, ``ConcurrentCommit`` is raised and
+    nothing has changed."""
     recover(spark, path)
-    tail: list[str] = []
-    if any(p.getName().startswith("part-") for p in _paths(spark, path)):
-        sizes = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("f")).agg(F.count(F.lit(1)).alias("n"))
-        tail = [r["f"] for r in sizes.where(F.col("n") < rows_per_shard).collect()]  # one path for each under-full file
-    combined = new_rows
-    if tail:
-        old = spark.read.option("mergeSchema", "true").parquet(*tail)
-        combined = old.unionByName(new_rows, allowMissingColumns=True)
-    commit = uuid.uuid4().hex
-    write_shards(combined, f"{path}/{STAGING}{commit}", rows_per_shard, mode="error")
-    record = f"{path}/{STAGING}{commit}/record"
-    spark.createDataFrame([(f,) for f in tail or [""]], "value string").coalesce(1).write.text(record)
-    fs, jvm = _jvm_fs(spark, path)
-    # the rename is the commit: before it the staged files do not count
-    fs.rename(jvm.org.apache.hadoop.fs.Path(record), jvm.org.apache.hadoop.fs.Path(f"{path}/{COMMIT}{commit}"))
-    _finish(spark, path, commit)
-    return tail
+    snap = _adopted(spark, path)
+    add, tails, drop = stage_append(spark, path, snap, new_rows, rows_per_shard, per_event)
+    _finish(spark, path, snapshots.prepare(spark, path, snap.next(add, tails, drop)))
+    return drop

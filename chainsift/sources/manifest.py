@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 FIELDS = {
     "run_id": "string", "from_block": "bigint", "to_block": "bigint", "status": "string", "attempts": "int",
     "error": "string", "logs": "bigint", "decoded": "bigint", "shards": "bigint", "updated_at": "double",
-    "filtered": "bigint",
+    "filtered": "bigint", "shards_written": "map<string,bigint>", "rows_per_event": "map<string,bigint>",
+    "address": "string", "topics": "array<string>",
 }
 
 
-def scan_manifest(spark: SparkSession, path: str, pattern: str = "*.jsonl", exclude_basename: str | None = None) -> DataFrame:
+def scan_manifest(spark: SparkSession, path: str | list[str], pattern: str = "*.jsonl", exclude_basename: str | None = None) -> DataFrame:
     """Valid journal records: ``file, line_no`` + the manifest fields."""
     try:
         files = (
