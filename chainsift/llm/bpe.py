@@ -32,6 +32,7 @@ from .common import slices, start, table, text_or_empty, written
 from .tokencount import LETTER, NUMBER, OTHER, SPACE, byte_of_symbol, character_kinds
 
 BLOCK_WORDS, BLOCK_DISTINCT = 4_000_000, 500_000
+STRETCH_CHARS = 256  # longer stretches between blanks are split each time
 
 
 class WordSplitter:
@@ -45,6 +46,7 @@ class WordSplitter:
             spec = json.load(f)
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = {t["content"] for t in spec["added_tokens"]}
+        self.blank_specials = {s for s in self.specials if " " in s or "\n" in s}
         self.cut = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.specials)) + ")") if self.specials else None
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.words = regex.compile(pattern).findall
@@ -63,6 +65,15 @@ class WordSplitter:
             return self.segment(text)
         return [w for part in self.cut.split(text) for w in ([part] if part in self.specials else self.segment(part))]
 
+    def parts(self, text: str) -> list[str]:
+        """The text cut at blanks and line feeds: no word, and nothing that the normaliser puts together, crosses them.
+
+        Only these two, since not all that Python takes for white space is so for the tokenizer; a text with a
+        special string that holds a blank stays whole."""
+        if self.blank_specials and any(s in text for s in self.blank_specials):
+            return [text]
+        return text.replace("\n", " ").split(" ")
+
     def encode(self, word: str) -> list[int]:
         if word in self.specials:
             return [self.tokenizer.token_to_id(word)]
@@ -124,6 +135,7 @@ def _blocks(path: str, parts: int) -> Callable:
         s, packer = splitter(path), zstandard.ZstdCompressor(level=6)  # words hold no line feeds
         block = TaskContext.get().partitionId() << 20
         known: dict[str, int] = {}
+        stretches: dict[str, list[int]] = {}  # the words of what stands between blanks, which no word crosses
         rows: list[pa.Array] = []
         codes: list[np.ndarray] = []
 
@@ -154,13 +166,20 @@ def _blocks(path: str, parts: int) -> Callable:
         for b in batches:
             for run_ in slices(b, limit=1 << 20):
                 rows.append(run_.column(0))
-                for text in run_.column(1):
-                    c = [known.setdefault(w, len(known)) for w in s.split(text.as_py())]
+                for text in run_.column(1).to_pylist():
+                    c: list[int] = []
+                    for part in s.parts(text):
+                        found = stretches.get(part)
+                        if found is None:
+                            found = [known.setdefault(w, len(known)) for w in s.split(part)]
+                            if len(part) <= STRETCH_CHARS:
+                                stretches[part] = found
+                        c += found
                     codes.append(np.array(c, np.int64))
                     size += len(c)
-                if size >= BLOCK_WORDS or len(known) >= BLOCK_DISTINCT:
+                if size >= BLOCK_WORDS or len(known) >= BLOCK_DISTINCT or len(stretches) >= 2 * BLOCK_DISTINCT:
                     yield from close()
-                    block, known, rows, codes, size = block + 1, {}, [], [], 0
+                    block, known, stretches, rows, codes, size = block + 1, {}, {}, [], [], 0
         if rows:
             yield from close()
 
