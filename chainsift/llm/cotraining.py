@@ -11,7 +11,8 @@ held-out rows, gives the score of every document.  A document is wanted if its q
 Bounded by parameters, all for fitting only: ``sample`` labelled rows (by hash of the id), ``exchange`` pseudo-labels per view, class and
 round, ``words`` telling words.  Everything else, scores included, covers all documents.
 
-Labels without id or quality are ignored, a null toxic mark counts as 0, and of several labels the worst holds.  Null and empty
+Labels without id, or without quality and not marked toxic, are ignored, a null toxic mark counts as 0, and of several labels the worst holds.
+The surest pseudo-labels are those with the largest calibrated margin (0.98 at least), ties by the id's hash. Texts of any length are read whole.  Null and empty
 texts are scored by what is left of them (no words); null metadata is a value of its own.  Without labels of both classes every
 score is the share of wanted labels (1 without any).  Repeated rows each get a row; empty tables give empty tables; columns travel in
 a struct, so their names cannot clash.
@@ -23,7 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import Words, slices, start, table, text_buffer, text_or_empty, written
@@ -102,8 +103,15 @@ def _features(shared) -> Callable:
                 pairs = np.unique(owner * (len(vocabulary) + 1) + at[known])
                 owner, word = pairs // (len(vocabulary) + 1), pairs % (len(vocabulary) + 1) + LEVELS * N_STATS
                 cut = np.searchsorted(owner, np.arange(len(counts) + 1))
-                cells = [np.concatenate([stats[k], word[cut[k] : cut[k + 1]]]).astype(np.int32) for k in range(len(counts))]
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(cells, pa.list_(pa.int32()))], ["row", "meta", "content"])
+                ends = cut + N_STATS * np.arange(len(cut))  # each text's statistics, then its words
+                cells = np.empty(int(ends[-1]), np.int32)
+                at_stats = (ends[:-1, None] + np.arange(N_STATS)).ravel()
+                cells[at_stats] = stats.ravel()
+                rest = np.ones(len(cells), bool)
+                rest[at_stats] = False
+                cells[rest] = word
+                content = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(cells))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), content], ["row", "meta", "content"])
 
     return run
 
@@ -179,16 +187,54 @@ def telling_words(texts: DataFrame, share: float, limit: int) -> np.ndarray:
 # ---------------------------------------------------------------- rounds
 
 
+def _margins(lists: pa.ListArray, w: np.ndarray) -> np.ndarray:
+    """Margins of a column of one-hot rows, read as flat values and offsets."""
+    offsets = lists.offsets.to_numpy()
+    sums = np.concatenate([[0.0], np.cumsum(w[lists.flatten().to_numpy(zero_copy_only=False)])])
+    return sums[offsets[1:] - offsets[0]] - sums[offsets[:-1] - offsets[0]] + w[-1]
+
+
+def _both(batch: pa.RecordBatch, model: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Calibrated margins of the text and the metadata view."""
+    (text_w, text_c), (meta_w, meta_c), _ = model
+    content, meta = (batch.column(batch.schema.get_field_index(c)) for c in ("content", "meta"))
+    return _margins(content, text_w) * text_c[0] + text_c[1], _margins(meta, meta_w) * meta_c[0] + meta_c[1]
+
+
 def _score(shared) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (text_w, text_c), (meta_w, meta_c), both = shared.value
         for b in batches:
-            content = [np.array(x, np.int64) for x in b.column(2).to_pylist()]
-            meta = [np.array(x, np.int64) for x in b.column(1).to_pylist()]
-            a, m = margin(content, text_w) * text_c[0] + text_c[1], margin(meta, meta_w) * meta_c[0] + meta_c[1]
-            score = sigmoid(np.column_stack([a, m, np.ones(len(a))]) @ both)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), b.column(2), pa.array(sigmoid(a)), pa.array(sigmoid(m)), pa.array(score)], ["row", "meta", "content", "p_text", "p_meta", "score"])
+            a, m = _both(b, shared.value)
+            score = sigmoid(np.column_stack([a, m, np.ones(len(a))]) @ shared.value[2])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sigmoid(a)), pa.array(sigmoid(m)), pa.array(score)], ["row", "p_text", "p_meta", "score"])
+
+    return run
+
+
+KINDS = (("meta", 1), ("meta", 0), ("content", 1), ("content", 0))  # the view that learns, and what it is told
+
+
+def _surest(shared, exchange: int) -> Callable:
+    """Of a task's rows ``(hash, meta, content)``: for each of ``KINDS`` the ``exchange`` of which the other view is surest."""
+    least = float(np.log(SURE / (1 - SURE)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table | None] = [None] * len(KINDS)
+        for b in batches:
+            text, meta = _both(b, shared.value)
+            for k, ((view, value), x) in enumerate(zip(KINDS, (text, text, meta, meta), strict=True)):
+                sure = x if value else -x
+                at = np.flatnonzero(sure >= least)
+                if not len(at):
+                    continue
+                t = pa.table({"kind": np.full(len(at), k, np.int32), "sure": sure[at], "hash": b.column(0).take(pa.array(at)), "features": b.column(view).take(pa.array(at))})
+                t = t if held[k] is None else pa.concat_tables([held[k], t])
+                if t.num_rows > exchange:
+                    t = t.take(np.lexsort((t["hash"].to_numpy(), -t["sure"].to_numpy()))[:exchange])
+                held[k] = t.combine_chunks()
+        for t in held:
+            if t is not None:
+                yield from t.to_batches()
 
     return run
 
@@ -208,9 +254,10 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
     """``(row, p_text, p_meta, score)`` for every row: the calibrated views and their combination; ``row`` is a struct of its columns."""
     spark = docs.sparkSession
     start(spark)
-    wanted = (labels.where("doc_id is not null and quality is not null")
+    toxic = F.coalesce(F.col("toxic") == 1, F.lit(False))
+    wanted = (labels.where(F.col("doc_id").isNotNull() & (F.col("quality").isNotNull() | toxic))
               .groupBy(F.col("doc_id").cast("long").alias("wanted"))
-              .agg(F.min(((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int")).alias("label")))
+              .agg(F.min((F.coalesce(F.col("quality") == 1, F.lit(False)) & ~toxic).cast("int")).alias("label")))
     texts = docs.select(F.struct("*").alias("row"), _meta(docs).alias("meta"), text_or_empty(text_col).alias("text"), F.col(f"`{id_col}`").cast("long").alias("id"))
     wanted = written(wanted, "labels")
     n, good = wanted.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
@@ -234,22 +281,21 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
     widths = {"content": LEVELS * N_STATS + len(vocabulary), "meta": sum(META)}
     given: dict[str, list] = {"content": [], "meta": []}  # pseudo-labels that a view has from the other
-    unlabelled = features.join(F.broadcast(known.select("wanted")), of_row == F.col("wanted"), "left_anti")
+    unlabelled = features.join(F.broadcast(known.select("wanted")), of_row == F.col("wanted"), "left_anti").select(F.xxhash64(of_row).alias("hash"), "meta", "content")
     text_w = meta_w = None
     for turn in range(rounds + 1):
         text_w, text_c, text_x = _views(rows, given["content"], widths["content"], "content", held, y, text_w)
         meta_w, meta_c, meta_x = _views(rows, given["meta"], widths["meta"], "meta", held, y, meta_w)
         both = calibrate(np.column_stack([text_x, meta_x]), y[held])
         model = spark.sparkContext.broadcast(((text_w, text_c), (meta_w, meta_c), both))
-        scored = f"{feature}, p_text double, p_meta double, score double"
         if turn == rounds:
-            return features.mapInArrow(_score(model), scored).select("row", "p_text", "p_meta", "score")
-        sure = unlabelled.mapInArrow(_score(model), scored)
-        order = F.xxhash64(of_row, F.lit(turn))
-        for view, other in (("p_text", "meta"), ("p_meta", "content")):
-            for value, test in ((1, F.col(view) >= SURE), (0, F.col(view) <= 1 - SURE)):
-                best = sure.where(test).select(order.alias("o"), other).orderBy("o").limit(exchange).collect()
-                given[other] += [(np.array(r[other], np.int64), value) for r in best]
+            return features.mapInArrow(_score(model), f"row {row_type}, p_text double, p_meta double, score double")
+        # one pass a round: each task's surest, then the surest of all
+        sure = unlabelled.mapInArrow(_surest(model, exchange), "kind int, sure double, hash long, features array<int>")
+        place = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("sure"), "hash"))
+        for r in sure.withColumn("place", place).where(F.col("place") <= exchange).select("kind", "features").collect():
+            view, value = KINDS[r["kind"]]
+            given[view].append((np.array(r["features"], np.int64), value))
     raise AssertionError
 
 
