@@ -167,3 +167,26 @@ def test_abi_tuples_of_any_depth(spark):
         json.dump([entry], f)
     abi = registry_from_abi(spark, os.path.join(path, "x.json"), "abi")
     assert list(abi.specs) == [keccak256_hex(f"Deep(address,{kind}[])")]
+
+
+def test_a_journal_over_several_splits(spark):
+    import json
+
+    path = scratch_path(spark, "journal-splits")
+    os.makedirs(path)
+    for name, bad_at in (("a", None), ("b", 700), ("c", 3)):
+        with open(f"{path}/{name}.jsonl", "w") as f:
+            for i in range(1000):
+                f.write("[]\n" if i == bad_at else "\n" if i % 10 == 9 else json.dumps({"from_block": i, "to_block": i, "status": "done", "run_id": name}) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        rows = scan_manifest(spark, path)
+        got = {}
+        for r in rows.collect():
+            assert r.line_no == r.from_block
+            got.setdefault(r.run_id, []).append(r.line_no)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = {n: [i for i in range(1000) if i % 10 != 9 and (cut is None or i < cut)] for n, cut in (("a", None), ("b", 700), ("c", 3))}
+    assert {k: sorted(v) for k, v in got.items()} == want
