@@ -35,7 +35,7 @@ from ..schema import MANIFEST
 from ..session import scratch_path
 from ..sinks import shards as S
 from ..sinks import snapshots as N
-from ..sinks.layout import run_name
+from ..sinks.layout import dataset_folder, run_name
 from ..sinks.manifest import append_manifest, manifest_records
 from ..sources.manifest import scan_manifest
 
@@ -266,6 +266,17 @@ def _records(spark, data_path, staged, chunks, failed, add, attempt, run_id) ->
     return done.unionByName(manifest_records(lost, run_id, status="failed", extra=("topics",), topics=F.col("keys")))
 
 
+def fetch(
+    spark: SparkSession, logs: DataFrame, registry: Registry, out_root: str, address: str, start="earliest", end="latest",
+    layout: str = "legacy", protocol: str | None = None, contract: str | None = None, **options,
+) -> RunOutput:
+    """The whole job of one address in one call: its dataset's folder under ``out_root`` (by address and topic set, or by
+    ``protocol`` and ``contract`` with one table of shards per event), then ``run`` with the other ``options``."""
+    folder = dataset_folder(out_root, address, registry.topic0s(), layout, protocol, contract)
+    per_event = layout == "per_event" and bool(protocol and contract)
+    return run(spark, logs, registry, folder, start, end, address=address, per_event=per_event, **options)
+
+
 def read_decoded(spark: SparkSession, data_path: str) -> DataFrame:
     """Decoded rows of all committed runs; ``run_id`` names the attempt that landed a row."""
     return S.read_shards(spark, data_path).drop("chunk_from")

@@ -110,3 +110,18 @@ def test_dataset_folders():
     assert layout.dataset_folder("/r", "0xAB", [], "per_event", "uni", None) == "/r/0xab__topics-none"
     with pytest.raises(ValueError):
         layout.dataset_folder("/r", "0xAB", [], "other")
+
+
+def test_one_call_for_an_address_and_a_layout(spark, sf_small):
+    lake = C.lake(spark, sf_small, "events")
+    address = lake.where("size(topics) > 0").first()["address"]
+    root = scratch_path(spark, "jobs")
+    res = P.fetch(spark, lake, R.builtin_registry(), root, address.upper().replace("0X", "0x"), step=500, layout="per_event", protocol="uni", contract="pool", rows_per_shard=40)
+    own = D.decode(lake.where(F.lower("address") == address.lower()), R.builtin_registry())
+    got = P.read_decoded(spark, f"{root}/uni/pool/data")
+    assert res.data_path == f"{root}/uni/pool/data" and got.select(own.columns).exceptAll(own).count() == 0 and got.count() == own.count()
+    sizes = {}
+    for r in P.S.shard_sizes(spark, res.data_path, ("event",)).collect():
+        sizes.setdefault(r["event"], []).append(r["rows"])
+    assert all(sum(x < 40 for x in v) <= 1 and max(v) <= 40 for v in sizes.values())
+    assert P.fetch(spark, lake, R.clpool_registry(), root, address, step=500, layout="per_event", protocol="uni", contract="pool").seeds == 0
