@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_root, ship_package
+from ..sinks.snapshots import delete
 
 SLICE_BYTES = 4 << 20
 HASH_BLOCK = 1 << 18
@@ -31,17 +34,41 @@ def start(spark: SparkSession) -> None:
     ship_package(spark)
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path under the cluster's shared checkpoint folder (URI kept as it is)."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+_FOLDERS: ContextVar[tuple[str, ...]] = ContextVar("folders", default=())  # open working folders, innermost last
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
+@contextmanager
+def working_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end; what is read later is written with ``outlives``."""
+    folder = scratch(spark, "work")
+    token = _FOLDERS.set((*_FOLDERS.get(), folder))
+    try:
+        yield
+    finally:
+        _FOLDERS.reset(token)
+        delete(spark, folder)
+
+
+def scratch(spark: SparkSession, name: str, outlives: bool = False) -> str:
+    """A fresh path under the cluster's shared checkpoint folder (URI kept as it is), in the working folder if one is open."""
+    folders = _FOLDERS.get()[: -1 if outlives else None]
+    return f"{folders[-1] if folders else scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str, outlives: bool = False) -> DataFrame:
+    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors.
+
+    The shuffle files of the write go with its end, since nothing reads them again; a lost task's are made anew while it runs."""
     spark = df.sparkSession
-    path = scratch(spark, name)
+    path = scratch(spark, name, outlives)
     schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(schema).parquet(path)
 
 

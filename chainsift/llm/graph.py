@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import start, written
+from .common import start, working_tables, written
 
 
 def forest(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -52,15 +52,25 @@ def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` of every node of ``edges(u, v)``; component is the smallest node reached.
 
     Self-loops, repeated and reversed edges are harmless; rows with a null end are ignored;
-    no edges give an empty table."""
-    start(edges.sparkSession)
+    no edges give an empty table.  Only the last round's table stays."""
+    spark = edges.sparkSession
+    start(spark)
+    with working_tables(spark):
+        now = written(_stars(edges), "stars", outlives=True)
+    roots = now.select(F.col("v").alias("node")).distinct()
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
+        roots.select("node", F.col("node").alias("component")))
+
+
+def _stars(edges: DataFrame) -> DataFrame:
+    """``(u, v)``: every node but the smallest of its component, with that."""
     cleaned = edges.select(F.col("u").cast("long"), F.col("v").cast("long")).where("u is not null and v is not null and u <> v")
     now = written(cleaned.mapInArrow(_local, "u long, v long").distinct(), "cc")
     before = None
     while True:
         n, total = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if not n or (n, total) == before:
-            break
+            return now
         before = (n, total)
         both = now.unionAll(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -70,6 +80,3 @@ def components(edges: DataFrame) -> DataFrame:
         now = written(
             small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionAll(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
-    roots = now.select(F.col("v").alias("node")).distinct()
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
-        roots.select("node", F.col("node").alias("component")))

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import Words, mix, slices, start, table, text_buffer, text_or_empty, windows, written
+from .common import Words, mix, slices, start, table, text_buffer, text_or_empty, windows, working_tables, written
 from .graph import components
 
 WORDS = Words(b" \t\n\x0b\x0c\r")
@@ -262,6 +262,14 @@ def links_and_components(docs: DataFrame, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     start(spark)
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).withColumn("th", F.xxhash64("text"))
+    with working_tables(spark):
+        rows, links = _linked(docs, size, percent)
+        return written(rows, "components", outlives=True), written(links, "links", outlives=True)
+
+
+def _linked(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows and links of ``(doc_id, text, th)``, read from working tables."""
+    spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(cell_ranks(docs, size))
     rows = written(docs.select("doc_id", "th", "text").mapInArrow(_doc_rows(size, percent, shared), ROW_SCHEMA), "sets")
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainsift.llm import bpe, cotraining, decontaminate, jaccard, lines
-from chainsift.llm.common import table, text_or_empty, written
+from chainsift.llm.common import table, text_or_empty, working_tables, written
 
 KEEP_FROM = 0.5
 TOKENIZER = "word_bpe_49k.json"
@@ -43,11 +43,13 @@ def unique_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows without words are in no component and stay."""
     key = F.xxhash64("doc_id", "th")
-    groups = written(jaccard.near_duplicates(docs).withColumn("key", key), "groups")
-    place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), "th", "key")
-    first = groups.where("component is not null").groupBy("component").agg(F.min(place).alias("p")).select("p.key")
-    counted = groups.where("component is not null").groupBy("key").agg(F.count("*").alias("n")).join(first, "key")
-    stay = written(counted.unionAll(groups.where("component is null").select("key", F.lit(0).cast("long").alias("n")).distinct()), "stay")
+    with working_tables(spark):
+        groups = jaccard.near_duplicates(docs).withColumn("key", key)
+        place = F.struct(F.coalesce("doc_id", F.lit(2**63 - 1)), "th", "key")
+        first = groups.where("component is not null").groupBy("component").agg(F.min(place).alias("p")).select("p.key")
+        counted = groups.where("component is not null").groupBy("key").agg(F.count("*").alias("n")).join(first, "key")
+        alone = groups.where("component is null").select("key", F.lit(0).cast("long").alias("n")).distinct()
+        stay = written(counted.unionAll(alone), "stay", outlives=True)
     rows = docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64(text_or_empty("text")).alias("th")).select("row", key.alias("key"))
     kept = rows.join(stay, "key")
     repeated = kept.where("n > 1").dropDuplicates(["key"])  # rows of one id and text
