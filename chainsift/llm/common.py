@@ -57,11 +57,15 @@ def scratch(spark: SparkSession, name: str, outlives: bool = False) -> str:
 
 
 def written(df: DataFrame, name: str, outlives: bool = False) -> DataFrame:
-    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors.
+    """``df`` written to the shared folder and read back: cuts lineage, survives lost executors."""
+    return written_at(df, scratch(df.sparkSession, name, outlives))
+
+
+def written_at(df: DataFrame, path: str) -> DataFrame:
+    """The same at a path that the caller may delete early.
 
     The shuffle files of the write go with its end, since nothing reads them again; a lost task's are made anew while it runs."""
     spark = df.sparkSession
-    path = scratch(spark, name, outlives)
     schema = df.schema
     before = spark.conf.get(_CLEAN_UP, None)
     spark.conf.set(_CLEAN_UP, "true")
