@@ -7,7 +7,9 @@ that cover a normalised place are mapped back to source characters and added.  B
 
 Kinds, leftmost and non-overlapping for each kind, failing matches dropped without another try: email, ip (parts at most 255),
 card (13 to 19 digits that pass Luhn's test), phone (9 to 15 digits after a plus).  Spans count code points, end exclusive.
-All scans are linear in the text.
+All scans are linear in the text, whatever the number of labels, blanks or line breaks inside a disguise.  A plain "at" after a verb or
+pronoun that stands before places ("look at example dot com", ``NOT_NAMES``) is no sign.  A spelled point before an address joins the word
+before it to the name ("jane dot doe at ...").
 
 Null and empty texts have no spans; repeated rows each get a row; an empty table gives an empty table; columns travel in a struct.
 """
@@ -18,6 +20,7 @@ import re
 import sys
 import unicodedata
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -85,6 +88,8 @@ def find(text: str) -> list[tuple[int, int, int]]:
 # Characters that look like ASCII ones, each followed by what it stands for.
 LOOK_ALIKES = ("аaеeоoрpсcуyхxіiјjѕsԁdһhԛqԝwАAВBЕEКKМMНHОOРPСCТTХXІIЈJЅSУY"
                "αaοoνvρpτtυuιiıiΑAΒBΕEΖZΗHΙIΚKΜMΝNΟOΡPΤTΥYΧX"
+               "օoսuհhոnցgյjզqՕOՏSԼL"
+               "ӏlкkмmтt"
                "‐-‑-‒-–-—-−-․.。.｡.﹒.﹫@⁺+﬩+")
 # Spelled digits.
 DIGIT_WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine")
@@ -106,6 +111,10 @@ def _replacements() -> dict[int, str]:
             plain = unicodedata.normalize("NFKC", c)
             if len(plain) == 1 and plain.isascii() and plain.isalpha():
                 found[ord(c)] = plain
+        else:  # small capitals
+            name, _, letter = unicodedata.name(c, "").rpartition(" ")
+            if name == "LATIN LETTER SMALL CAPITAL" and len(letter) == 1:
+                found[ord(c)] = letter.lower()
     found[0xAD] = ""
     return found | {ord(a): b for a, b in zip(LOOK_ALIKES[::2], LOOK_ALIKES[1::2], strict=True)}
 
@@ -113,20 +122,32 @@ def _replacements() -> dict[int, str]:
 REPLACEMENTS = _replacements()
 _REPLACED = {chr(c): new for c, new in REPLACEMENTS.items()}
 _DIGIT = "(?ai:" + "|".join(DIGIT_WORDS) + ")"  # ASCII letters of either case only; look-alikes are replaced before
-_SPELLED = re.compile(rf"(?<![^\W\d_]){_DIGIT}(?:[ ,-]{{0,2}}(?:{_DIGIT}|[0-9]))+(?![^\W\d_])")
-_ONE_DIGIT = re.compile(rf"({_DIGIT})|[ ,-]+")
-_PLUS = re.compile(rf"(?<![^\W\d_])(?ai:plus)[ ]{{1,2}}(?=[0-9]|{_DIGIT}(?![^\W\d_]))")
-_IN_BRACKETS = r"[ \t]{0,3}[\[({<][ \t]{0,3}(%s)[ \t]{0,3}[\])}>][ \t]{0,3}"
-_BRACKETED = re.compile(_IN_BRACKETS % "at|dot|[@.]", re.I | re.A)
-_LABEL = "[A-Za-z0-9-]{1,63}+"
-_DOT_WORD = r"[ \t]{1,3}dot[ \t]{1,3}"
-_HIDDEN_DOT = _IN_BRACKETS.replace("(%s)", r"(?:dot|\.)") + "|" + _DOT_WORD
+# No repeat is bounded.  Possessive repeats, and starts at the first blank of a run only, keep every scan linear.
+_SPELLED = re.compile(rf"(?<![^\W\d_]){_DIGIT}(?:[\s,-]*+(?:{_DIGIT}|[0-9]))+(?![^\W\d_])", re.A)
+_ONE_DIGIT = re.compile(rf"({_DIGIT})|[\s,-]+", re.A)
+_PLUS = re.compile(rf"(?<![^\W\d_])(?ai:plus)\s++(?=[0-9]|{_DIGIT}(?![^\W\d_]))", re.A)
+_INNER = r"[\[({<]\s*+(%s)\s*+[\])}>]\s*+"
+_BRACKETED = re.compile(r"(?<!\s)\s*+" + _INNER % "at|dot|[@.]", re.I | re.A)
+_LABEL = "[A-Za-z0-9-]++"
+_DOT_WORD = r"\s++dot\s++"
+_HIDDEN_DOT = r"\s*+" + _INNER.replace("(%s)", r"(?:dot|\.)") + "|" + _DOT_WORD
 # a plain "at" needs a domain with a disguised point; an "@" between blanks one that ends in letters
-_SPELLED_AT = re.compile(rf"(?<=[A-Za-z0-9])([ \t]{{1,3}}(?:at|@)[ \t]{{1,3}}){_LABEL}(?:\.{_LABEL}){{0,8}}(?:{_HIDDEN_DOT})[A-Za-z0-9-]", re.I | re.A)
-_SPACED_SIGN = re.compile(rf"(?<=[A-Za-z0-9])([ \t]{{1,3}}@[ \t]{{1,3}}){_LABEL}(?:\.[A-Za-z0-9-]{{1,63}}+(?=\.[A-Za-z0-9-])){{0,8}}\.[A-Za-z]{{2,63}}(?![A-Za-z0-9-])", re.A)
-_SPELLED_DOTS = re.compile(rf"(?<=[A-Za-z0-9._%+-])@{_LABEL}((?:\.{_LABEL}){{0,8}}(?:{_DOT_WORD}{_LABEL}(?:\.{_LABEL}){{0,8}}){{1,8}})", re.I | re.A)
+_SPELLED_AT = re.compile(rf"(?<=[A-Za-z0-9])(\s++(at|@)\s++)(?={_LABEL}(?:\.{_LABEL})*+(?:{_HIDDEN_DOT})[A-Za-z0-9-])", re.I | re.A)
+_SPACED_SIGN = re.compile(rf"(?<=[A-Za-z0-9])(\s++@\s++)(?=({_LABEL}(?:\.{_LABEL})++))", re.A)
+_SPELLED_DOTS = re.compile(rf"(?<=[A-Za-z0-9._%+-])@{_LABEL}((?:\.{_LABEL})*+(?:{_DOT_WORD}{_LABEL}(?:\.{_LABEL})*+)++)", re.I | re.A)
+_SPELLED_LOCAL = re.compile(rf"[A-Za-z0-9._%+-]++((?:{_DOT_WORD}[A-Za-z0-9._%+-]++)*+)(@)?", re.I | re.A)
 _SPELLED_DOT = re.compile(_DOT_WORD, re.I | re.A)
-_DOTTED_DIGITS = re.compile(r"(?<=[0-9])[ \t]{1,3}(?ai:dot|point)[ \t]{1,3}(?=[0-9])")
+_DOTTED_DIGITS = re.compile(r"(?<=[0-9])\s++(?ai:dot|point)\s++(?=[0-9])", re.A)
+_OCTET = rf"(?:{_DIGIT}|[0-9]++)"
+_POINT = r"(?:\.|\s++(?ai:dot|point)\s++)"
+_SPELLED_IP = re.compile(rf"(?<![^\W_])(?<!\.){_OCTET}(?:{_POINT}{_OCTET}){{3}}(?![^\W_])", re.A)  # four parts, as addresses have
+_IP_PIECE = re.compile(rf"({_DIGIT})|\s++(?ai:dot|point)\s++", re.A)
+# Words that stand before a plain "at" in sentences about places and sites ("look at example dot com").
+NOT_NAMES = ("look", "looks", "looked", "looking", "see", "seen", "met", "meet", "work", "works", "worked", "working", "be", "is", "are", "was",
+             "were", "been", "me", "us", "you", "him", "her", "it", "them", "here", "there", "and", "or", "not", "only", "also", "available",
+             "found", "hosted", "located", "based", "live", "lives", "lived", "stay", "arrive", "arrived", "online", "site", "website")
+_NOT_NAME = re.compile(r"(?<![A-Za-z0-9._%+-])(?:" + "|".join(NOT_NAMES) + r")\Z", re.I | re.A)
+_LONGEST = max(map(len, NOT_NAMES)) + 1
 
 Edit = tuple[int, int, str]
 
@@ -181,7 +202,7 @@ class Mapped:
             return int(self.src[i]) + p - int(self.at[i])
         return int(self.ends[i])
 
-    @property
+    @cached_property
     def ends(self) -> np.ndarray:
         return np.append(self.src[1:], self.end)
 
@@ -201,13 +222,31 @@ def _spelled(text: str) -> list[Edit]:
     return edits
 
 
+def _octets(text: str) -> list[Edit]:
+    """Addresses of four parts with single spelled digits, at least one of whose points is spelled."""
+    edits = []
+    low = text.lower()
+    if "dot" in low or "point" in low:
+        for m in _SPELLED_IP.finditer(text):
+            found = list(_IP_PIECE.finditer(text, *m.span()))
+            if any(d.group(1) for d in found) and not all(d.group(1) for d in found):
+                edits += [(*d.span(), str(DIGIT_WORDS.index(d.group(1).lower())) if d.group(1) else ".") for d in found]
+    return edits
+
+
 def _ats(text: str) -> list[Edit]:
     """Each pattern runs only on texts that hold a sign or word which it cannot do without."""
     edits, low = [], text.lower()
     if "dot" in low or any(c in text for c in "[({<"):
-        edits += [(*m.span(1), "@") for m in _SPELLED_AT.finditer(text)]
-    if " @" in text or "\t@" in text:
-        edits += [(*m.span(1), "@") for m in _SPACED_SIGN.finditer(text)]
+        for m in _SPELLED_AT.finditer(text):
+            a = m.start()
+            if m.group(2) == "@" or not _NOT_NAME.search(text[max(0, a - _LONGEST) : a]):
+                edits.append((*m.span(1), "@"))
+    if "@" in text:
+        for m in _SPACED_SIGN.finditer(text):
+            last = m.group(2).rpartition(".")[2]
+            if len(last) > 1 and last.isalpha():
+                edits.append((*m.span(1), "@"))
     return edits
 
 
@@ -223,10 +262,14 @@ def _signs(text: str) -> list[Edit]:
 
 
 def _dots(text: str) -> list[Edit]:
+    """Spelled points of domains and of names before the sign."""
     edits = []
     if "@" in text and "dot" in text.lower():
         for m in _SPELLED_DOTS.finditer(text):
             edits += [(d.start(), d.end(), ".") for d in _SPELLED_DOT.finditer(text, *m.span(1))]
+        for m in _SPELLED_LOCAL.finditer(text):  # whole chains of words, so that none is read twice
+            if m.group(2) and m.group(1):
+                edits += [(d.start(), d.end(), ".") for d in _SPELLED_DOT.finditer(text, *m.span(1))]
     return edits
 
 
@@ -239,15 +282,15 @@ def _apart(edits: list[Edit]) -> list[Edit]:
 
 
 def normalise(text: str) -> Mapped:
-    """Characters first, then spelled digits, then signs (plain "at", all others, "dot" in domains): five transducers in a row,
-    offsets composed."""
+    """Characters first, then spelled digits, parts of spelled addresses, signs (plain "at", all others, "dot" in domains and
+    names): six transducers in a row, offsets composed."""
     m = Mapped(text)
     if not text.isascii() and not _REPLACED.keys().isdisjoint(set(text)):
         m = m.edited([(k, k + 1, _REPLACED[c]) for k, c in enumerate(text) if c in _REPLACED])
     edits = _spelled(m.text)
     if edits:
         m = m.edited(edits)
-    for signs in (_ats, _signs, _dots):
+    for signs in (_octets, _ats, _signs, _dots):
         edits = _apart(signs(m.text))
         if edits:
             m = m.edited(edits)

@@ -91,3 +91,36 @@ def test_signs_of_clean_texts():
         assert spans(text) == ([], []), text
     for unit in ("@a dot ", " at a.", "a @ a.", "a at a (dot", "@a.a"):
         spans(unit * (400_000 // len(unit)))
+
+
+LABELS = " dot ".join("abcdefghijklmnop")
+
+
+@pytest.mark.parametrize(("address", "kind"), [
+    (f"jane at {LABELS}", "email"), (f"jane@{LABELS}", "email"), ("jane    at    example   dot   com", "email"), ("jane\nat\nexample\ndot\ncom", "email"),
+    ("jane [\n at\n ] example\n[dot]\ncom", "email"), ("jane dot doe at example dot com", "email"), ("jane dot a dot doe [at] example [dot] com", "email"),
+    ("jane @ " + "a." * 20 + "com", "email"), (f"jane at {'x' * 80} dot com", "email"), ("one dot two dot three dot four", "ip"), ("10 dot one dot 0 point nine", "ip"),
+    ("four   one,\n1 1 - one one one one one one one one one one one one", "card"), ("plus    one two three four five six seven eight nine nine", "phone"),
+    ("ᴊᴀɴᴇ@example.com", "email"), ("jane@exаmple.сom", "email"), ("օscar@example.com", "email")])
+def test_disguises_of_any_length_are_covered_whole(address, kind):
+    assert (pii.KINDS.index(kind), 3, 3 + len(address)) in spans(f"X: {address}; y")[1]
+
+
+def test_places_are_no_addresses():
+    for text in ("look at google dot com", "We met at google dot com.", "Here it is at example [dot] com", "One. Two. Three. Four.", "write to me at noon dot"):
+        assert spans(text) == ([], []), text
+    text = "write to me at jane dot doe at example dot com"
+    assert spans(text)[1] == [(0, text.index("jane"), len(text))]
+
+
+def test_many_spans_and_long_runs_are_linear():
+    import time
+
+    def took(text):
+        begin = time.perf_counter()
+        spans(text)
+        return time.perf_counter() - begin
+
+    assert took("jane [at] example dot com, " * 40_000) < 5 * took("jane [at] example dot com, " * 10_000) + 2
+    for unit in ("a dot ", " ", "a ", "[ ", "a at ", "a at a", "a @ ", "one dot ", "one ", "plus ", "\n", "a@a dot "):
+        assert took(unit * (400_000 // len(unit))) < 10, unit
