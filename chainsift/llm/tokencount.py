@@ -7,11 +7,13 @@ bytes that may become part of a longer token, with the last token and the token
 places.  Every transition is annotated with the change of the number of emitted tokens (a merge makes
 it negative), so a text's count is the sum along its path, and no token is ever built.
 
-Texts are cut into chunks.  A space followed by a letter leads to the same state from every state, so a
-chunk's *state map* is the run up to the first such place (to be run from whatever state the chunk is
-entered in), the count between the first and the last, and the run after the last.  These maps
-compose associatively; chunks of long texts are spread over tasks and composed by a prefix scan in
-three levels of up to 1,024 neighbours each, more than a string can hold.
+Texts are cut into chunks.  A chunk's *state map* gives, for the few states that its beginning can have, the state
+at its end and the count between.  Those states come from the characters before the chunk: a space followed by a
+letter leads to the same state from every state; without such a place the transducer runs over what lies before, from
+several starts.  States that some chunk ends in and the next one does not know yet are run in further rounds, in all
+chunks of that text, until the maps are closed; a text that still is not (none known) is run in one go.
+Maps compose associatively, by a prefix scan in three levels of up to 1,024 neighbours each, more than a string can hold.
+Work is linear in the text, also for digits, blanks, ideographs and words that never end.
 
 Special strings in texts are handled as the tokenizer file's default does: one token each, and a
 cut.  Null and empty texts have no tokens; ids may be null or repeat; an empty table gives an empty
@@ -21,6 +23,7 @@ table; only the named columns are read, so further columns cannot clash.
 from __future__ import annotations
 
 import json
+from ast import literal_eval
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -29,10 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, start, table, text_or_empty
+from .common import slices, start, table, text_or_empty, written
 
 CHUNK = 1 << 16  # characters
 FAN = 1024
+LOOK = 2048  # characters before a chunk that its first states are guessed from
+STARTS = 4
+ROUNDS, STATES = 6, 64  # of closing the maps, and new states of a text in one; beyond them the text is run in one go
 TRANSITION_LIMIT = 500_000  # kept by a worker; beyond it they are compiled anew
 TABLE_BITS = 18
 LANES, FEW = 4096, 16
@@ -123,6 +129,7 @@ def character_kinds() -> bytes:
 Word = tuple[bytes, tuple]
 NEW: Word = (b"", ((None, 0),))
 BEGIN = ("0", NEW, "", ())
+StateMap = dict[str, tuple[str, int]]  # by the state at the beginning: the state at the end, and the count between
 
 
 class Transducer:
@@ -151,6 +158,7 @@ class Transducer:
         self.to = np.zeros(1 << TABLE_BITS, np.int64)
         self.begin = self.state(BEGIN)
         self.after: dict[int, int] = {}
+        self.one: dict[int, int] = {}  # transitions of single runs
 
     def state(self, key: tuple) -> int:
         n = self.ids.setdefault(key, len(self.keys))
@@ -337,14 +345,12 @@ class Transducer:
             states[:n] = got >> 16
             changes[here] = (got & 0xFFFF) - 32768
             j += 1
-        known: dict[int, int] = {}
         for k in range(n):  # the few long lanes left (words that never end) one by one
             state, lo, hi = int(states[k]), int(starts[k] + j), int(starts[k] + sizes[k])
             for p, c in enumerate(codes[lo:hi].tolist(), lo):
-                place = (state << 21) | c
-                got = known.get(place)
+                got = self.one.get((state << 21) | c)
                 if got is None:
-                    got = known[place] = int(self.look_up(np.array([place], np.int64))[0])
+                    got = self._one((state << 21) | c)
                 state = got >> 16
                 changes[p] = (got & 0xFFFF) - 32768
         total = np.concatenate([[0], np.cumsum(changes, dtype=np.int64)])
@@ -382,28 +388,72 @@ class Transducer:
             i = find(" ", 0, i) if backwards else find(" ", i + 1)
         return -1
 
-    def state_maps(self, chunks: list[str]) -> list[tuple[str, int, str | None]]:
-        """(run up to the first landmark, count from there to the last, run from the last), each with its landmark;
-        (the chunk, 0, None) where there is none."""
+    def _one(self, place: int) -> int:
+        got = self.one[place] = int(self.look_up(np.array([place], np.int64))[0])
+        return got
+
+    def run(self, state: int, text: str) -> tuple[int, int]:
+        """State after the text, and the change of the count."""
+        one, total = self.one, 0
+        for c in text:
+            place = (state << 21) | ord(c)
+            got = one.get(place)
+            if got is None:
+                got = self._one(place)
+            state = got >> 16
+            total += (got & 0xFFFF) - 32768
+        return state, total
+
+    def name(self, state: int) -> str:
+        """A state as text, the same in every worker."""
+        return repr(self.keys[state])
+
+    def named(self, name: str) -> int:
+        return self.state(literal_eval(name))
+
+    def entries(self, before: str, whole: bool) -> list[str]:
+        """States that a chunk may begin in, by the text before it (``whole``: all of it)."""
+        i = self.landmark(before, backwards=True)
+        if i >= 0 or whole:
+            return [self.name(self.run(self.begin, before[max(i, 0) :])[0])]
+        states = {self.begin}
+        for k, c in enumerate(before):
+            states = {self.run(s, c)[0] for s in states} | ({self.begin} if k < STARTS else set())
+        return sorted(map(self.name, states))
+
+    def chunk_maps(self, chunks: list[str], entries: list[list[str]]) -> list[StateMap]:
+        """The maps of chunks from the states they may begin in."""
         marks = [(self.landmark(c), self.landmark(c, backwards=True)) for c in chunks]
         middles = [c[i : k + 2] if i >= 0 else "" for c, (i, k) in zip(chunks, marks, strict=True)]
         counts, leads = self.counts(middles).tolist(), self.counts([m[:2] for m in middles]).tolist()
-        return [(c[: i + 2], n - lead, c[k:]) if i >= 0 else (c, 0, None)
-                for c, (i, k), n, lead in zip(chunks, marks, counts, leads, strict=True)]
-
-    def compose(self, a: tuple, b: tuple) -> tuple:
-        """The map of two neighbouring chunks."""
-        if a[2] is None:  # a has no landmark of its own
-            h, n, t = self.state_maps([a[0] + b[0]])[0]
-        else:  # the bridge begins with a's last landmark
-            h, n, t = a[0], a[1], self.state_maps([a[2] + b[0]])[0]
-            n, t = n + t[1], t[2]
-        return (h, n, t) if b[2] is None else (h, n + b[1], b[2])
-
-    def total(self, m: tuple) -> int:
+        maps = []
+        for chunk, (i, k), known, n, lead in zip(chunks, marks, entries, counts, leads, strict=True):
+            if i < 0:
+                runs = {e: self.run(self.named(e), chunk) for e in known}
+                maps.append({e: (self.name(s), x) for e, (s, x) in runs.items()})
+                continue
+            state, tail = self.run(self.begin, chunk[k:])
+            rest = n - lead + tail - self.run(self.begin, chunk[k : k + 2])[1]
+            maps.append({e: (self.name(state), self.run(self.named(e), chunk[: i + 2])[1] + rest) for e in known})
+        return maps
+
+    def state_maps(self, chunks: list[str]) -> list[StateMap]:
+        """Closed maps of the chunks of one text, in order."""
+        begin = self.name(self.begin)
+        maps = self.chunk_maps(chunks, [[begin], *[self.entries(c[-LOOK:], False) for c in chunks[:-1]]])
+        for k in range(1, len(chunks)):
+            missing = sorted({x for x, _ in maps[k - 1].values()} - maps[k].keys())
+            maps[k] |= self.chunk_maps([chunks[k]], [missing])[0]
+        return maps
+
+    def compose(self, a: StateMap, b: StateMap) -> StateMap:
+        """The map of two neighbouring stretches."""
+        return {e: (b[x][0], n + b[x][1]) for e, (x, n) in a.items()}
+
+    def total(self, m: StateMap) -> int:
         """Tokens of a whole text by its map."""
-        head, tail, lead = self.counts([m[0], m[2] or "", (m[2] or "")[:2]]).tolist()
-        return head + m[1] + tail - lead
+        state, n = m[repr(BEGIN)]
+        return n + self.end(literal_eval(state))
 
 
 _MACHINES: dict[str, Transducer] = {}
@@ -426,19 +476,47 @@ def _count_whole(path: str, shared) -> Callable:
     return run
 
 
-_MAP = "id long, n_bytes long, place long, head string, middle long, tail string"
+_PIECE = "id long, n_bytes long, place long, chunks long, before string, piece string"
+_MAP = "id long, n_bytes long, place long, chunks long, entry string, exit string, n long"
+_MAP_TYPES = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
 
 
-def _map_chunks(path: str, shared) -> Callable:
+def _cut(chunk: int) -> Callable:
+    """Texts in chunks, each with what lies before it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for key, n_bytes, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                text = text.as_py()
+                n = -(-len(text) // chunk)
+                for lo in range(0, n, 16):
+                    places = range(lo, min(lo + 16, n))
+                    yield pa.RecordBatch.from_arrays(
+                        [*[pa.array([x] * len(places), pa.int64()) for x in (key, n_bytes)], pa.array(places, pa.int64()), pa.array([n] * len(places), pa.int64()),
+                         pa.array([text[max(0, k * chunk - LOOK) : k * chunk] for k in places], pa.string()),
+                         pa.array([text[k * chunk : (k + 1) * chunk] for k in places], pa.string())], [x.split()[0] for x in _PIECE.split(", ")])
+
+    return run
+
+
+def _map_rows(heads: list[tuple], maps: list[StateMap]) -> pa.RecordBatch:
+    rows = [(*head, e, x, n) for head, m in zip(heads, maps, strict=True) for e, (x, n) in m.items()]
+    return pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], k) for c, k in enumerate(_MAP_TYPES)], [x.split()[0] for x in _MAP.split(", ")])
+
+
+def _map_chunks(path: str, shared, chunk: int) -> Callable:
+    """Maps of chunks from the given states, or from those that the text before suggests."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = machine(path, shared.value)
         for b in batches:
             for part in slices(b, "piece"):
-                maps = m.state_maps(part.column(3).to_pylist())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), part.column(2), pa.array([x[0] for x in maps], pa.string()),
-                     pa.array([x[1] for x in maps], pa.int64()), pa.array([x[2] for x in maps], pa.string())],
-                    ["id", "n_bytes", "place", "head", "middle", "tail"])
+                heads = list(zip(*(part.column(k).to_pylist() for k in range(4)), strict=True))
+                if "entries" in part.schema.names:
+                    known = part.column("entries").to_pylist()
+                else:
+                    known = [m.entries(t, h[2] * chunk <= LOOK) for h, t in zip(heads, part.column(4).to_pylist(), strict=True)]
+                yield _map_rows(heads, m.chunk_maps(part.column(5).to_pylist(), known))
 
     return run
 
@@ -446,21 +524,65 @@ def _map_chunks(path: str, shared) -> Callable:
 def _compose(path: str, shared, last: bool) -> Callable:
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         m = machine(path, shared.value)
-        rows = rows.sort_by("place").to_pylist()
-        whole = (rows[0]["head"], rows[0]["middle"], rows[0]["tail"])
-        for r in rows[1:]:
-            whole = m.compose(whole, (r["head"], r["middle"], r["tail"]))
+        rows = rows.to_pylist()
+        by_place: dict[int, StateMap] = {}
+        for r in rows:
+            by_place.setdefault(r["place"], {})[r["entry"]] = r["exit"], r["n"]
+        first, *others = (by_place[k] for k in sorted(by_place))
+        for other in others:
+            first = m.compose(first, other)
         r = rows[0]
         if last:
-            return pa.table({"id": pa.array([r["id"]], pa.int64()), "n_bytes": pa.array([r["n_bytes"]], pa.int64()),
-                             "n_tokens": pa.array([m.total(whole)], pa.int64())})
-        return pa.table({"id": pa.array([r["id"]], pa.int64()), "n_bytes": pa.array([r["n_bytes"]], pa.int64()),
-                         "place": pa.array([r["place"] // FAN], pa.int64()), "head": pa.array([whole[0]], pa.string()),
-                         "middle": pa.array([whole[1]], pa.int64()), "tail": pa.array([whole[2]], pa.string())})
+            return pa.table({"id": pa.array([r["id"]], pa.int64()), "n_bytes": pa.array([r["n_bytes"]], pa.int64()), "n_tokens": pa.array([m.total(first)], pa.int64())})
+        return pa.Table.from_batches([_map_rows([(r["id"], r["n_bytes"], r["place"] // FAN, r["chunks"])], [first])])
 
     return run
 
 
+def _count_at_once(path: str, shared) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = machine(path, shared.value)
+        for b in batches:
+            found = []
+            for text in b.column(2):
+                state, n = m.run(m.begin, text.as_py())
+                found.append(n + m.end(m.keys[state]))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(found, pa.int64())], ["id", "n_bytes", "n_tokens"])
+
+    return run
+
+
+def _gaps(maps: DataFrame) -> DataFrame:
+    """Per text the states that a chunk ends in and the next one does not know."""
+    ends = maps.where("place + 1 < chunks").select("id", (F.col("place") + 1).alias("place"), F.col("exit").alias("entry")).distinct()
+    return ends.join(maps.select("id", "place", "entry"), ["id", "place", "entry"], "left_anti").groupBy("id").agg(F.collect_set("entry").alias("entries"))
+
+
+def _long_counts(texts: DataFrame, path: str, shared, chunk: int) -> DataFrame:
+    """``(id, n_bytes, n_tokens)`` of distinct long texts ``(id, n_bytes, text)``."""
+    spark = texts.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    pieces = texts.mapInArrow(_cut(chunk), _PIECE).repartition(tasks, "id", "place")
+    of_states = _map_chunks(path, shared, chunk)
+    maps = written(pieces.mapInArrow(of_states, _MAP), "maps")
+    out = "id long, n_bytes long, n_tokens long"
+    rest = None
+    for k in range(ROUNDS + 1):
+        gaps = written(_gaps(maps), "gaps")
+        few = gaps.where(F.size("entries") <= STATES)
+        if not gaps.count():
+            break
+        if k == ROUNDS or not few.count():  # no state maps of use: these texts in one go
+            rest = texts.join(gaps.select("id"), "id", "left_semi").select("id", "n_bytes", "text").mapInArrow(_count_at_once(path, shared), out)
+            maps = maps.join(gaps.select("id"), "id", "left_anti")
+            break
+        maps = written(maps.unionAll(pieces.join(few, "id").mapInArrow(of_states, _MAP)).dropDuplicates(["id", "place", "entry"]), "maps")
+    for _ in range(2):
+        maps = maps.groupBy("id", F.floor(F.col("place") / FAN)).applyInArrow(_compose(path, shared, False), _MAP)
+    totals = maps.groupBy("id").applyInArrow(_compose(path, shared, True), out)
+    return totals if rest is None else totals.unionAll(rest)
+
+
 def token_counts(docs: DataFrame, path: str, text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """``(row, n_bytes, n_tokens)`` for every row; ``row`` is a struct of the row's columns but the text."""
     spark = docs.sparkSession
@@ -473,15 +595,9 @@ def token_counts(docs: DataFrame, path: str, text_col: str = "text", chunk: int
     short = texts.where(F.length("text") <= chunk).mapInArrow(_count_whole(path, shared), f"row {row_type}, n_bytes long, n_tokens long")
     long = texts.where(F.length("text") > chunk).withColumn("id", F.xxhash64("text"))
     # equal texts have one id and are counted once
-    pieces = long.groupBy("id").agg(F.min(F.struct("text", "n_bytes")).alias("t")).select(
-        "id", "t.n_bytes", F.posexplode(F.expr(f"transform(sequence(0, (length(t.text) - 1) div {chunk}), k -> substring(t.text, cast(k * {chunk} + 1 as int), {chunk}))")).alias("place", "piece"))
-    pieces = pieces.select("id", "n_bytes", F.col("place").cast("long"), "piece")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    maps = pieces.repartition(tasks, "id", "place").mapInArrow(_map_chunks(path, shared), _MAP)
-    for _ in range(2):
-        maps = maps.groupBy("id", F.floor(F.col("place") / FAN)).applyInArrow(_compose(path, shared, False), _MAP)
-    totals = maps.groupBy("id").applyInArrow(_compose(path, shared, True), "id long, n_bytes long, n_tokens long")
-    return short.unionAll(long.select("row", "id").join(totals, "id").select("row", "n_bytes", "n_tokens"))
+    distinct = long.groupBy("id").agg(F.min(F.struct("text", "n_bytes")).alias("t")).select("id", "t.n_bytes", "t.text")
+    totals = _long_counts(distinct, path, shared, chunk)
+    return short.unionAll(long.select("row", "n_bytes", "id").join(totals.select("id", "n_tokens"), "id").select("row", "n_bytes", "n_tokens"))
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -46,6 +47,40 @@ def test_token_counts(spark, documents):
         assert Counter(map(tuple, got.collect())) == expected
 
 
+@pytest.mark.parametrize("unit", ["1234567890 ", " ", "a", "中文字", "x9", "\n ", "-", "é!", "<|endof", "aé1"])
+def test_state_maps_of_texts_without_landmarks(rng, unit):
+    m = tokencount.machine(BYTE_BPE, tokencount.character_kinds())
+    for lead in ("", "y", "yyy ", "12"):
+        text = lead + unit * (20_011 // len(unit))
+        whole, *others = m.state_maps([text[i : i + 1000] for i in range(0, len(text), 1000)])
+        for other in others:
+            whole = m.compose(whole, other)
+        assert m.total(whole) == library_counts([text])[0]
+
+
+@pytest.mark.parametrize("unit", ["1234567890 ", " ", "中文字漢語", "a"])
+def test_long_texts_without_landmarks_are_linear(unit):
+    m = tokencount.machine(BYTE_BPE, tokencount.character_kinds())
+    took = []
+    for size in (1 << 22, 1 << 24):
+        text = unit * (size // len(unit))
+        begin = time.perf_counter()
+        maps = m.state_maps([text[i : i + tokencount.CHUNK] for i in range(0, len(text), tokencount.CHUNK)])
+        took.append(time.perf_counter() - begin)
+        assert max(map(len, maps)) <= 2 * tokencount.STARTS
+    assert took[1] < 8 * took[0] + 2 and took[1] < 90
+
+
+def test_token_counts_without_landmarks(spark):
+    rng = random.Random(5)
+    texts = ["12 345 6 " * 900, "a" * 7_003, " " * 5_001 + "x", "漢字仮名" * 1_500, "".join(rng.choice("abcdefgh") for _ in range(9_000)), "", "9" * 3_333 + " the end " * 200]
+    rows = spark.createDataFrame([(k % 5, t) for k, t in enumerate(texts + texts[:2])], "doc_id long, text string")
+    expected = Counter(zip((k % 5 for k in range(len(texts) + 2)), library_counts(texts + texts[:2]), strict=True))
+    for chunk in (700, 64):  # 64: more rounds than allowed for some, which are run in one go
+        got = tokencount.token_counts(rows, BYTE_BPE, chunk=chunk).collect()
+        assert Counter((r.row.doc_id, r.n_tokens) for r in got) == expected
+
+
 def test_token_counts_of_odd_rows(spark):
     odd = spark.createDataFrame([(None, None, 1), (1, "", 2), (1, "it's  <|endoftext|> it", 3), (1, "it's  <|endoftext|> it", 3)], "id long, text string, n_tokens int")
     got = sorted((r.row.n_tokens, r.n_bytes, r.n_tokens) for r in tokencount.token_counts(odd, BYTE_BPE, chunk=4).collect())
