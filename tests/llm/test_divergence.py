@@ -59,6 +59,20 @@ def test_equals_brute_force(spark, monkeypatch, tile, block):
     assert {tuple(r) for r in M.divergence(docs, min_docs=5, top=3).collect()} == brute(rows, 5, 3)
 
 
+def test_languages_that_differ_in_a_trailing_nul(spark):
+    rows = made(3, 240)
+    rows = [(text, (lang or "") + "\x00" * (i % 3), source) for i, (text, lang, source) in enumerate(rows)]
+    got = M.divergence(spark.createDataFrame(rows, "text string, lang string, source string"), min_docs=5, top=3).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute(rows, 5, 3))
+
+
+def test_tiles_without_a_group(spark, monkeypatch):
+    monkeypatch.setattr(M, "TILE_GROUPS", 1)  # as many tiles as sources: some get none
+    rows = [(text, "en", f"s{i % 9}") for i, (text, _, _) in enumerate(made(4, 120))]
+    got = M.divergence(spark.createDataFrame(rows, "text string, lang string, source string"), min_docs=5, top=3).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute(rows, 5, 3))
+
+
 def test_empty_table(spark):
     assert M.divergence(spark.createDataFrame([], "text string, lang string, source string")).collect() == []
 
