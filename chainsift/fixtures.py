@@ -4,10 +4,15 @@ The test data has no EVM logs, so each fixture ABI-encodes rows of a given
 table into the ``raw_logs`` schema.  The encoding is a projection of the source
 table (no driver-side data), so it scales with the table; an oracle can state
 the expected decoded values straight from the source columns.
+
+The lake wants its logs ordered by block and log index: ``arrange(rows, block, log)`` does that to the narrow source rows,
+before they are encoded to many times their size.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +55,13 @@ def tx_of(key: Column) -> Column:
     return F.concat(F.lit("0x"), F.sha2(key.cast("string"), 256))
 
 
+Arrange = Callable[[DataFrame, Column, Column], DataFrame]
+
+
+def _as_read(df: DataFrame, block: Column, log: Column) -> DataFrame:
+    return df
+
+
 def _raw(df: DataFrame, *extra: str) -> DataFrame:
     return df.select(
         *extra,
@@ -69,7 +81,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_logs_events(spark: SparkSession, sf_dir: str, keep_id: bool = False) -> DataFrame:
+def raw_logs_events(spark: SparkSession, sf_dir: str, keep_id: bool = False, arrange: Arrange = _as_read) -> DataFrame:
     """Fixture A: clpool Mint/Burn, nfpm IncreaseLiquidity, gauge Deposit and one kind per filter rule."""
     ev = _table(spark, sf_dir, "events")
     eid, uid = F.col("event_id"), F.col("user_id")
@@ -82,6 +94,8 @@ def raw_logs_events(spark: SparkSession, sf_dir: str, keep_id: bool = False) ->
         .when(F.col("event_type") == "signup", "Deposit")
         .otherwise(F.element_at(F.array(*[F.lit(k) for k in ("unknown", "none", "missing", "short")]), (eid % 4).cast("int") + 1))
     )
+    block, log = F.lit(1000000) + F.floor(eid / 10), eid % 10
+    ev = arrange(ev.select("event_id", "user_id", "ts", "event_type", "value"), block, log)
     df = ev.select("event_id", "user_id", "ts", kind.alias("kind"), c.alias("c"), z.alias("z"))
     k, c, z = F.col("kind"), F.col("c"), F.col("z")
     t0 = (
@@ -108,10 +122,10 @@ def raw_logs_events(spark: SparkSession, sf_dir: str, keep_id: bool = False) ->
         address_of(uid).alias("address"),
         tp.alias("topics"),
         F.concat(F.lit("0x"), dt).alias("data"),
-        (F.lit(1000000) + F.floor(eid / 10)).alias("block_number"),
+        block.alias("block_number"),
         epoch_seconds(F.col("ts")).alias("block_timestamp"),
         tx_of(eid).alias("tx_hash"),
-        (eid % 10).alias("log_index"),
+        log.alias("log_index"),
         eid.alias("event_id"),
     )
     return _raw(out, "event_id") if keep_id else _raw(out)
@@ -122,11 +136,12 @@ def swap_price(li: DataFrame) -> Column:
     return F.round(F.col("l_extendedprice") * 100).cast("long") * sign
 
 
-def raw_logs_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_logs_lineitem(spark: SparkSession, sf_dir: str, arrange: Arrange = _as_read) -> DataFrame:
     """Fixture B: one Swap log per lineitem row (signed words; the benchmark input)."""
     li = _table(spark, sf_dir, "lineitem")
     p = swap_price(li)
     ok, ln = F.col("l_orderkey"), F.col("l_linenumber")
+    li = arrange(li.select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", "l_shipdate", "l_returnflag", "l_extendedprice"), ok, ln)
     out = li.select(
         F.lit(ADDRESSES[1]).alias("address"),
         F.array(F.lit(R.SWAP_T0), tw(F.col("l_suppkey")), tw(F.col("l_partkey"))).alias("topics"),
@@ -139,7 +154,7 @@ def raw_logs_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(out)
 
 
-def raw_logs_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_logs_orders(spark: SparkSession, sf_dir: str, arrange: Arrange = _as_read) -> DataFrame:
     """Fixture C/gauge: F -> Deposit, O -> Withdraw, P -> ClaimRewards."""
     o = _table(spark, sf_dir, "orders")
     st, key, cust = F.col("o_orderstatus"), F.col("o_orderkey"), F.col("o_custkey")
@@ -147,6 +162,7 @@ def raw_logs_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     t0 = F.when(st == "F", F.lit(R.DEPOSIT_T0)).when(st == "O", F.lit(R.WITHDRAW_T0)).otherwise(F.lit(R.CLAIM_REWARDS_T0))
     topics = F.when(st == "P", F.array(t0, tw(cust))).otherwise(F.array(t0, tw(cust), tw(key), tw(cents)))
     data = F.when(st == "P", F.concat(F.lit("0x"), w(cents))).otherwise(F.lit("0x"))
+    o = arrange(o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice"), key, F.lit(0))
     out = o.select(
         address_of(cust).alias("address"),
         topics.alias("topics"),
@@ -159,10 +175,11 @@ def raw_logs_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(out)
 
 
-def raw_logs_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_logs_customer(spark: SparkSession, sf_dir: str, arrange: Arrange = _as_read) -> DataFrame:
     """Fixture C/vfat: one Deploy per customer."""
     c = _table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
+    c = arrange(c.select("c_custkey", "c_nationkey"), key, F.lit(1))
     out = c.select(
         address_of(key).alias("address"),
         F.array(F.lit(R.DEPLOY_T0), tw(key)).alias("topics"),
@@ -175,7 +192,7 @@ def raw_logs_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _raw(out)
 
 
-def raw_logs_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_logs_part(spark: SparkSession, sf_dir: str, arrange: Arrange = _as_read) -> DataFrame:
     """Fixture C/nfpm: ``p_size % 3`` = 0 Collect, 1 DecreaseLiquidity, 2 Transfer."""
     p = _table(spark, sf_dir, "part")
     key, size = F.col("p_partkey"), F.col("p_size")
@@ -187,6 +204,7 @@ def raw_logs_part(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.array(F.lit(R.TRANSFER_T0), tw(size), tw(key), tw(key)))
     )
     data = F.when(m == 2, F.lit("")).otherwise(F.concat(w(size), w(key), w(cents)))
+    p = arrange(p.select("p_partkey", "p_size", "p_retailprice"), F.lit(5000000) + key, size)
     out = p.select(
         address_of(key).alias("address"),
         topics.alias("topics"),
