@@ -40,8 +40,14 @@ def _parts(df: DataFrame, rows_per_shard: int, num_rows: int | None) -> int:
 
 def sorted_files(df: DataFrame, order: list[str], rows_per_shard: int = DEFAULT_ROWS_PER_SHARD, num_rows: int | None = None) -> str:
     """Write ``df`` sorted, one file per range partition; returns the scratch path."""
-    path = scratch_path(df.sparkSession, "sorted")
+    spark, path, made = df.sparkSession, scratch_path(df.sparkSession, "sorted"), None
+    if "EvalPython" in df._jdf.queryExecution().optimizedPlan().toString():  # range partitioning reads its input twice: Python's rows are made once
+        made = scratch_path(spark, "made")
+        df.write.option("compression", "zstd").parquet(made)
+        df = spark.read.schema(df.schema).parquet(made)
     df.repartitionByRange(_parts(df, rows_per_shard, num_rows), *order).sortWithinPartitions(*order).write.option("compression", "zstd").parquet(path)
+    if made:
+        snapshots.delete(spark, made)
     return path
 
 
