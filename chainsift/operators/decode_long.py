@@ -62,7 +62,16 @@ def decode_long(logs: DataFrame, registry: Registry, semantics: str = "reference
     if len(rows) <= BROADCAST_FIELDS_MAX:
         fields = F.broadcast(fields)
     kept = D.classify(logs, registry, semantics).where(F.col("filter_reason").isNull())
-    kept = kept.withColumn("__t0", F.lower(F.get(F.col("topics"), 0))).withColumn("__hex", D.hex_payload())
+    # what is the same for all fields of a log is made once, before the join makes a row of each field
+    kept = kept.select(
+        F.col("block_number").cast("long").alias("block_number"),
+        F.coalesce(F.col("block_timestamp").cast("long"), F.lit(0).cast("long")).alias("block_timestamp"),
+        "tx_hash",
+        F.col("log_index").cast("long").alias("log_index"),
+        checksum_address(F.col("address")).alias("contract"),
+        "topics",
+        F.inline(F.array(F.struct(F.lower(F.get(F.col("topics"), 0)).alias("__t0"), D.hex_payload().alias("__hex")))),
+    )
     j = kept.join(fields, kept["__t0"] == fields["topic0"])
     topic = F.get(F.col("topics"), F.col("idx"))
     wrd = F.substring(F.col("__hex"), F.lit(3) + F.col("idx") * W.WORD, F.lit(W.WORD))
@@ -83,16 +92,10 @@ def decode_long(logs: DataFrame, registry: Registry, semantics: str = "reference
         fast = fast.when(cond, f_expr)
         if s_expr is not None:
             slow = F.when(cond, s_expr) if slow is None else slow.when(cond, s_expr)
-    if slow is not None:
-        fast = F.coalesce(fast, wide_int_to_decimal(slow, F.col("mode")))
+    # computed once behind a generator; rows without a value go before Python sees any (a wide integer's digits are checked, so it always has one)
+    plan = [fast.alias("__fast"), (F.lit(None).cast("string") if slow is None else slow).alias("__slow")]
     out = j.select(
-        F.col("block_number").cast("long").alias("block_number"),
-        F.coalesce(F.col("block_timestamp").cast("long"), F.lit(0).cast("long")).alias("block_timestamp"),
-        "tx_hash",
-        F.col("log_index").cast("long").alias("log_index"),
-        checksum_address(F.col("address")).alias("contract"),
-        "event",
-        "field",
-        fast.alias("value"),
-    )
-    return out.where(F.col("value").isNotNull())
+        "block_number", "block_timestamp", "tx_hash", "log_index", "contract", "event", "field", "mode", F.inline(F.array(F.struct(*plan))))
+    out = out.where(F.col("__fast").isNotNull() | F.col("__slow").isNotNull())
+    value = F.col("__fast") if slow is None else F.coalesce("__fast", wide_int_to_decimal(F.col("__slow"), F.col("mode")))
+    return out.select("block_number", "block_timestamp", "tx_hash", "log_index", "contract", "event", "field", value.alias("value"))
