@@ -5,7 +5,7 @@ table into the ``raw_logs`` schema.  The encoding is a projection of the source
 table (no driver-side data), so it scales with the table; an oracle can state
 the expected decoded values straight from the source columns.
 
-The lake wants its logs ordered by block and log index: ``arrange(rows, block, log)`` does that to the narrow source rows,
+The lake wants its logs ordered by block and log index: ``arrange(rows, block[, log])`` does that to the narrow source rows,
 before they are encoded to many times their size.
 """
 
@@ -55,10 +55,10 @@ def tx_of(key: Column) -> Column:
     return F.concat(F.lit("0x"), F.sha2(key.cast("string"), 256))
 
 
-Arrange = Callable[[DataFrame, Column, Column], DataFrame]
+Arrange = Callable[..., DataFrame]
 
 
-def _as_read(df: DataFrame, block: Column, log: Column) -> DataFrame:
+def _as_read(df: DataFrame, *order: Column) -> DataFrame:
     return df
 
 
@@ -162,7 +162,7 @@ def raw_logs_orders(spark: SparkSession, sf_dir: str, arrange: Arrange = _as_rea
     t0 = F.when(st == "F", F.lit(R.DEPOSIT_T0)).when(st == "O", F.lit(R.WITHDRAW_T0)).otherwise(F.lit(R.CLAIM_REWARDS_T0))
     topics = F.when(st == "P", F.array(t0, tw(cust))).otherwise(F.array(t0, tw(cust), tw(key), tw(cents)))
     data = F.when(st == "P", F.concat(F.lit("0x"), w(cents))).otherwise(F.lit("0x"))
-    o = arrange(o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice"), key, F.lit(0))
+    o = arrange(o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_totalprice"), key)
     out = o.select(
         address_of(cust).alias("address"),
         topics.alias("topics"),
@@ -179,7 +179,7 @@ def raw_logs_customer(spark: SparkSession, sf_dir: str, arrange: Arrange = _as_r
     """Fixture C/vfat: one Deploy per customer."""
     c = _table(spark, sf_dir, "customer")
     key = F.col("c_custkey")
-    c = arrange(c.select("c_custkey", "c_nationkey"), key, F.lit(1))
+    c = arrange(c.select("c_custkey", "c_nationkey"), key)
     out = c.select(
         address_of(key).alias("address"),
         F.array(F.lit(R.DEPLOY_T0), tw(key)).alias("topics"),

@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame
 ROWS_PER_FILE, LEAST_ROWS = 500_000, 20_000
 
 
-def clustered(rows: DataFrame, block: Column, log: Column) -> DataFrame:
-    """``rows`` in ranges of ``block``, sorted by block and log index: to be encoded into raw logs, which then need no exchange.
+def clustered(rows: DataFrame, block: Column, *log: Column) -> DataFrame:
+    """``rows`` in ranges of ``block``, sorted by block and log index (where it varies): to be encoded into raw logs, which then need no exchange.
 
     As many ranges as the rows need, so a range stays the same size at any size of the table (small tables: a range per core)."""
     n = rows.count()  # from the files' footers
     parts = max(math.ceil(n / ROWS_PER_FILE), min(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(n / LEAST_ROWS)), 1)
-    return rows.repartitionByRange(parts, block).sortWithinPartitions(block, log)
+    return rows.repartitionByRange(parts, block).sortWithinPartitions(block, *log)
 
 
 def write_clustered(raw: DataFrame, path: str, mode: str = "overwrite") -> str:
