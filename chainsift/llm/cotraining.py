@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Words, slices, start, table, text_buffer, text_or_empty, written
+from .common import Words, slices, start, table, text_buffer, text_or_empty, working_tables, written
 from .decontaminate import WORDS as LETTERS_AND_DIGITS
 
 SAMPLE, EXCHANGE, ROUNDS, TELLING = 20_000, 1_000, 3, 4_000
@@ -91,6 +91,8 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _features(shared) -> Callable:
+    """Of rows ``(key, meta, text)``: key, metadata features and text features."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value  # sorted hashes
         for b in batches:
@@ -111,7 +113,7 @@ def _features(shared) -> Callable:
                 rest[at_stats] = False
                 cells[rest] = word
                 content = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(cells))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), content], ["row", "meta", "content"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), content], ["key", "meta", "content"])
 
     return run
 
@@ -251,9 +253,18 @@ def _views(rows: list, own: list[tuple[np.ndarray, int]], width: int, view: str,
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample: int = SAMPLE,
                     exchange: int = EXCHANGE, rounds: int = ROUNDS, words: int = TELLING) -> DataFrame:
-    """``(row, p_text, p_meta, score)`` for every row: the calibrated views and their combination; ``row`` is a struct of its columns."""
+    """``(row, p_text, p_meta, score)`` for every row: the calibrated views and their combination; ``row`` is a struct of its columns.
+
+    The rounds read a working table of features alone, which goes when the model is known; the scores are made from the documents again."""
     spark = docs.sparkSession
     start(spark)
+    with working_tables(spark):
+        return _scored(docs, labels, id_col, text_col, sample, exchange, rounds, words)
+
+
+def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int, exchange: int, rounds: int, words: int) -> DataFrame:
+    """The scores, read from the documents; working tables are not read again once it returns."""
+    spark = docs.sparkSession
     toxic = F.coalesce(F.col("toxic") == 1, F.lit(False))
     wanted = (labels.where(F.col("doc_id").isNotNull() & (F.col("quality").isNotNull() | toxic))
               .groupBy(F.col("doc_id").cast("long").alias("wanted"))
@@ -267,21 +278,19 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         vocabulary = telling_words(texts.join(wanted, F.col("id") == F.col("wanted")), share, words)
     # rows to fit on: at most `sample` ids, by hash
     known = written(wanted.orderBy(F.xxhash64("wanted"), "wanted").limit(sample), "labelled")
-    row_type = texts.schema["row"].dataType.simpleString()
-    feature = f"row {row_type}, meta array<int>, content array<int>"
-    features = written(texts.select("row", "meta", "text").mapInArrow(_features(spark.sparkContext.broadcast(vocabulary)), feature), "features")
+    found = _features(spark.sparkContext.broadcast(vocabulary))
+    features = written(texts.select("id", "meta", "text").mapInArrow(found, "key long, meta array<int>, content array<int>"), "features")
 
-    of_row = F.col(f"row.`{id_col}`").cast("long")
-    rows = features.join(F.broadcast(known), of_row == F.col("wanted")).select("wanted", "label", "meta", "content").dropDuplicates(["wanted"])
+    rows = features.join(F.broadcast(known), F.col("key") == F.col("wanted")).select("wanted", "label", "meta", "content").dropDuplicates(["wanted"])
     rows = rows.orderBy(F.xxhash64("wanted"), "wanted").collect()  # at most `sample`, some dozen numbers each
     y = np.array([r["label"] for r in rows], np.int64)
     held = np.arange(len(rows)) % HOLD_OUT == 0
     if len(set(y[held].tolist())) < 2 or len(set(y[~held].tolist())) < 2:
-        return features.select("row", *[F.lit(share).alias(c) for c in ("p_text", "p_meta", "score")])
+        return texts.select("row", *[F.lit(share).alias(c) for c in ("p_text", "p_meta", "score")])
 
     widths = {"content": LEVELS * N_STATS + len(vocabulary), "meta": sum(META)}
     given: dict[str, list] = {"content": [], "meta": []}  # pseudo-labels that a view has from the other
-    unlabelled = features.join(F.broadcast(known.select("wanted")), of_row == F.col("wanted"), "left_anti").select(F.xxhash64(of_row).alias("hash"), "meta", "content")
+    unlabelled = features.join(F.broadcast(known.select("wanted")), F.col("key") == F.col("wanted"), "left_anti").select(F.xxhash64("key").alias("hash"), "meta", "content")
     text_w = meta_w = None
     for turn in range(rounds + 1):
         text_w, text_c, text_x = _views(rows, given["content"], widths["content"], "content", held, y, text_w)
@@ -289,7 +298,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
         both = calibrate(np.column_stack([text_x, meta_x]), y[held])
         model = spark.sparkContext.broadcast(((text_w, text_c), (meta_w, meta_c), both))
         if turn == rounds:
-            return features.mapInArrow(_score(model), f"row {row_type}, p_text double, p_meta double, score double")
+            score, row_type = _score(model), texts.schema["row"].dataType.simpleString()
+            return texts.select("row", "meta", "text").mapInArrow(lambda batches: score(found(batches)), f"row {row_type}, p_text double, p_meta double, score double")
         # one pass a round: each task's surest, then the surest of all
         sure = unlabelled.mapInArrow(_surest(model, exchange), "kind int, sure double, hash long, features array<int>")
         place = F.row_number().over(Window.partitionBy("kind").orderBy(F.desc("sure"), "hash"))

@@ -37,3 +37,15 @@ def test_odd_rows(spark):
     tags = spark.createDataFrame([(i, i % 2, 0) for i in range(48)], "doc_id long, quality int, toxic int")
     got = {r.row.doc_id: r.score >= 0.5 for r in cotraining.score_documents(many, tags).collect()}
     assert all(got[i] == bool(i % 2) for i in range(64)) and None in got
+
+
+def test_scores_read_documents_alone(spark, tmp_path):
+    schema = "doc_id long, text string, source string, lang string, n_chars long"
+    docs = spark.createDataFrame([(i, "good words" if i % 2 else "bad words", "s", None, i) for i in range(64)], schema)
+    docs.write.parquet(f"{tmp_path}/documents")
+    docs = spark.read.parquet(f"{tmp_path}/documents")
+    tags = spark.createDataFrame([(i, i % 2, 0) for i in range(48)], "doc_id long, quality int, toxic int")
+    for marks in (tags, tags.where("quality = 1")):
+        found = cotraining.score_documents(docs, marks)
+        assert set(found.inputFiles()) == set(docs.inputFiles())  # no working copy of the rows
+        assert found.count() == 64
