@@ -28,15 +28,20 @@ ADDRESSES = [
 UNKNOWN_T0 = "0x" + "ab" * 32
 
 
+def _digits(x: Column) -> Column:
+    """A long's 16 lower-case hex digits, two's complement."""
+    return F.lpad(F.lower(F.hex(x)), 16, "0")
+
+
 def w(x: Column) -> Column:
     """One 32-byte word, two's complement, 64 lower-case hex digits."""
     x = x.cast("long")
-    return F.lower(F.when(x < 0, F.lpad(F.hex(x), 64, "F")).otherwise(F.lpad(F.hex(x), 64, "0")))
+    return F.concat(F.when(x < 0, F.lit("f" * 48)).otherwise(F.lit("0" * 48)), _digits(x))
 
 
 def wide(hi: Column, lo: Column) -> Column:
     """Word holding ``hi * 2^64 + lo`` (both non-negative)."""
-    return F.lower(F.concat(F.lpad(F.hex(hi.cast("long")), 48, "0"), F.lpad(F.hex(lo.cast("long")), 16, "0")))
+    return F.concat(F.lit("0" * 32), _digits(hi.cast("long")), _digits(lo.cast("long")))
 
 
 def tw(x: Column) -> Column:

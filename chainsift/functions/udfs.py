@@ -24,8 +24,12 @@ _CACHE_LIMIT = 1 << 18
 
 
 def _to_decimal(body: str | None, mode) -> str | None:
+    """Decimal text of hex digits; of a list ``name:mode=digits,...`` the list ``name=decimal,...``."""
     if body is None:
         return None
+    if "=" in body:
+        parts = (x.replace("=", ":").split(":") for x in body.split(","))
+        return ",".join(f"{name}={v}" for name, m, digits in parts if (v := _to_decimal(digits, int(m))) is not None)
     try:
         v = int(body, 16)
     except (ValueError, TypeError):

@@ -1,7 +1,7 @@
 """Column expressions over ABI hex text (no row-at-a-time Python).
 
-Log payloads stay lower-case hex *text*: a 32-byte word is a 64-character
-substring, zero tests compare against literal runs of zeros, addresses are substrings.  Only
+Log payloads become bytes once: a 32-byte word is a substring of them, zero tests
+compare against literal runs of zeros, integer ranges against literal words.  Only
 integers wider than the JVM fast paths below reach the Arrow UDF in
 :mod:`chainsift.functions.udfs`.
 """
@@ -98,20 +98,35 @@ def is_int_type(typ: str) -> bool:
     return typ.startswith("uint") or typ.startswith("int")
 
 
-def _u60(h: Column) -> Column:
-    """Value of at most 15 hex digits as a long (exact)."""
-    return F.conv(h, 16, 10).cast("long")
+def byte_words(payload: Column, first: int, count: int = 1) -> Column:
+    """``count`` words of a payload in bytes from word ``first`` on (fewer bytes past its end).
 
+    A substring of bytes is taken in place; one of text walks over every character before it."""
+    return F.substring(payload, 32 * first + 1, 32 * count)
 
-def _u124_string(body64: Column) -> Column:
-    """Decimal text of a 64-digit word below 2**124: two limbs combined in decimal(38,0), exact."""
-    hi = F.conv(F.substring(body64, 34, 15), 16, 10).cast("decimal(38,0)")
-    lo = F.conv(F.substring(body64, 49, 16), 16, 10).cast("decimal(38,0)")
-    two64 = F.lit("18446744073709551616").cast("decimal(38,0)")
-    return (hi * two64 + lo).cast("decimal(38,0)").cast("string")
 
+def is_zero_bytes(w: Column, width: int = 32) -> Column:
+    """Every byte of ``w`` (at most ``width``) is 0; none counts as zero."""
+    return w == F.substring(F.lit(bytes(width)), F.lit(1), F.length(w))
+
+
+def address_from_bytes(w: Column) -> Column:
+    return F.concat(F.lit("0x"), F.lower(F.hex(F.substring(w, 13, 20))))
+
+
+def topic_word(body: Column) -> Column:
+    """The 32 bytes of a topic's digits, padded; null if they are no hex digits or more than one word."""
+    return F.when(F.length(body) <= WORD, F.unhex(F.lpad(body, WORD, "0")))
+
+
+def _word_of(v: int) -> Column:
+    return F.lit(v.to_bytes(32, "big"))
+
+
+def _u60(word: Column) -> Column:
+    """The lowest 60 bits of a word as a long (exact)."""
+    return F.conv(F.substring(F.hex(F.substring(word, 25, 8)), 2, 15), 16, 10).cast("long")
 
-NATIVE_124 = False
 
 _Q18, _R18 = divmod(1 << 256, 10**18)
 _E18 = 10**18
@@ -132,78 +147,61 @@ def _two256_minus(m: Column) -> Column:
     return F.concat(F.element_at(highs, (mh + borrow + 1).cast("int")), F.lpad(low.cast("string"), 18, "0"))
 
 
-def _near_top(body: Column) -> tuple[Column, Column]:
-    """(is ``body`` a 64-digit word within 2^60 of 2^256, ``2^256 - value`` as long)."""
-    cond = (F.length(body) == 64) & (F.substring(body, 1, 49) == F.lit("f" * 49))
-    return cond, F.lit(1 << 60) - _u60(F.substring(body, 50, 15))
-
-
-def decimal_plan(body: Column, mode: int, fixed_width: bool) -> tuple[Column, Column | None]:
-    """JVM fast path for an integer in hex text, and the input left for the Arrow UDF.
+def bytes_plan(word: Column, mode: int) -> tuple[Column, Column | None]:
+    """JVM fast path for an integer in a word of 32 bytes, and whether it is left for the Arrow UDF.
 
     ``mode``: 0 unsigned; +N signed ``intN`` with the reference rule (``v >= 2^(N-1)``
     => ``v - 2^N`` on the full 256-bit word); -N signed ``intN`` by ABI rules (low N
-    bits, two's complement).  ``fixed_width``: ``body`` is exactly 64 digits (a data
-    word); topics may have any length.
+    bits, two's complement).
 
-    Returns ``(fast, slow)``: ``fast`` is the decimal string when the value is
-    handled JVM-side (else null); ``slow`` is ``body`` when the UDF must convert it
-    (else null; None when the JVM path is exhaustive), so the UDF only sees the
-    few wide values.
+    Returns ``(fast, left)``: ``fast`` is the decimal string when the value is
+    handled JVM-side (else null); ``left`` is true of the other words, null ones too
+    (None when the JVM path is exhaustive), so the UDF only sees the few wide values.
     """
-    if not fixed_width:
-        # topics: left-pad to one word; longer (malformed) topics take the UDF path
-        raw = body
-        body = F.when(F.length(raw) <= 64, F.lpad(raw, 64, "0"))
-    top, dist = _near_top(body)
+    top, dist = word >= _word_of((1 << 256) - (1 << 60)), F.lit(1 << 60) - _u60(word)  # within 2^60 of 2^256, how far
     if mode == 0:
-        fits64 = has_zero_prefix(body, 48)
-        fast = F.when(fits64, F.conv(F.substring(body, 49, 16), 16, 10))
-        handled = fits64
-        if fixed_width and NATIVE_124:
-            fits124 = has_zero_prefix(body, 33)
-            fast = fast.when(fits124, _u124_string(body))
-            handled = handled | fits124
-        fast = fast.when(top, _two256_minus(dist))
-        handled = handled | top
-        slow_in = body if fixed_width else raw
-        return fast, F.when(~F.coalesce(handled, F.lit(False)), slow_in)
+        handled = word <= _word_of((1 << 64) - 1)
+        fast = F.when(handled, F.conv(F.hex(F.substring(word, 25, 8)), 16, 10)).when(top, _two256_minus(dist))
+        return fast, ~F.coalesce(handled | top, F.lit(False))
     n = abs(mode)
     if mode < 0 and n <= 60:
         # ABI rule, narrow type: only the low N bits matter.
-        low = _u60(F.right(body, F.lit((n + 3) // 4))).bitwiseAND(F.lit((1 << n) - 1))
+        low = _u60(word).bitwiseAND(F.lit((1 << n) - 1))
         val = F.when(low >= F.lit(1 << (n - 1)), low - F.lit(1 << n)).otherwise(low)
         return val.cast("string"), None
-    small = has_zero_prefix(body, 49)  # value < 2^60
-    v = _u60(F.right(body, F.lit(15)))
+    handled, v = word <= _word_of((1 << 60) - 1), _u60(word)
     if n <= 60:
-        fast = F.when(small, F.when(v >= F.lit(1 << (n - 1)), v - F.lit(1 << n)).otherwise(v).cast("string"))
-    else:
-        fast = F.when(small, v.cast("string"))
-    handled = small
+        v = F.when(v >= F.lit(1 << (n - 1)), v - F.lit(1 << n)).otherwise(v)
+    fast = F.when(handled, v.cast("string"))
     if mode > 0 and n <= 61:
         # reference rule on a sign-extended narrow negative: 2^256 - (dist + 2^N)
-        fast = fast.when(top, _two256_minus(dist + F.lit(1 << n)))
-        handled = handled | top
+        fast, handled = fast.when(top, _two256_minus(dist + F.lit(1 << n))), handled | top
     if n == 256 or mode < 0:
-        # sign-extended small negative: 49 leading f's, value = low60 - 2^60
-        neg = F.substring(body, 1, 49) == F.lit("f" * 49)
-        fast = fast.when(neg, (_u60(F.substring(body, 50, 15)) - F.lit(1 << 60)).cast("string"))
-        handled = handled | neg
-    slow_in = body if fixed_width else raw
-    return fast, F.when(~F.coalesce(handled, F.lit(False)), slow_in)
+        # sign-extended small negative
+        fast, handled = fast.when(top, (-dist).cast("string")), handled | top
+    return fast, ~F.coalesce(handled, F.lit(False))
+
+
+def decimal_plan(body: Column, mode: int, fixed_width: bool) -> tuple[Column, Column | None]:
+    """``bytes_plan`` for hex text: the fast path, and the text that is left for the Arrow UDF (else null; None: nothing is).
+
+    ``fixed_width``: ``body`` is exactly 64 digits (a data word); topics may have any length."""
+    fast, left = bytes_plan(F.unhex(body) if fixed_width else topic_word(body), mode)
+    return fast, None if left is None else F.when(left, body)
 
 
 def zero_value_test(w: Column, typ: str, semantics: str) -> Column | None:
-    """Whether a data word decodes to integer 0; None for non-integer types."""
+    """Whether a data word (32 bytes) decodes to integer 0; None for non-integer types."""
     if not is_int_type(typ):
         return None
     if typ.startswith("uint"):
-        return is_zero_hex(w)
+        return is_zero_bytes(w)
     n = int_bits(typ)
     if semantics == "abi":
-        return is_zero_hex(F.right(w, F.lit((n + 3) // 4))) if n % 4 == 0 else is_zero_hex(w)
+        if n % 8 == 0:
+            return is_zero_bytes(F.substring(w, 33 - n // 8, n // 8))
+        return is_zero_hex(F.right(F.hex(w), F.lit((n + 3) // 4))) if n % 4 == 0 else is_zero_bytes(w)
     if n >= 256:
-        return is_zero_hex(w)
+        return is_zero_bytes(w)
     # reference rule: v - 2^N == 0 when v == 2^N
-    return is_zero_hex(w) | (w == F.lit(format(1 << n, "064x")))
+    return is_zero_bytes(w) | (w == _word_of(1 << n))

@@ -25,25 +25,21 @@ from pyspark.sql import functions as F
 
 from ..functions import words as W
 from ..functions.udfs import checksum_address, wide_int_to_decimal
-from ..registry import EventSpec, Registry
+from ..registry import EventSpec, Ref, Registry
 from ..schema import BASE_COLUMNS
 
 FILTER_REASONS = ("no_topics", "unknown_topic", "fast_zero", "missing_topic", "short_data", "all_zero")
 ERROR_REASONS = ("null_block", "bad_hex", "bad_topic", "bad_zero_field", "bad_address")
 
 _REASON = "filter_reason"
-# Above this many integer projections (event x column) the conversions are computed
-# behind a generator: inlined into every CASE branch they would exceed the JVM's
-# 64 KB method limit and lose whole-stage codegen.
-BARRIER_MIN_INT_PROJECTIONS = 16
-
-# The normalised topic0 / payload / topic count are computed once per row and
-# exposed through a one-row ``inline`` generator.  Catalyst pushes filters below
+# The event's place in the registry (from 1; 0: unknown), the payload in bytes (null: no hex digits) and the topic
+# count are computed once per row and exposed through a one-row ``inline`` generator.  Catalyst pushes filters below
 # projections by inlining aliases, so plain helper columns would be re-evaluated
 # at every use inside the (large) reason expression; a predicate on generator
 # output cannot be pushed below the generator, so these stay computed once.
-_T0, _HEXC, _NTOPC = "__t0", "__hex", "__ntop"
-_PREP = (_T0, _HEXC, _NTOPC)
+EVENT, _BYTES, _NTOPC = "__event", "__bytes", "__ntop"
+_PREP = (EVENT, _BYTES, _NTOPC)
+_WIDE = "__wide"
 
 
 _EXPR_CACHE: dict[tuple, object] = {}
@@ -68,32 +64,26 @@ def _cached(kind: str, registry: Registry, semantics: str, build):
     return _EXPR_CACHE[key]
 
 
-def hex_payload() -> Column:
-    """Lower-cased ``data`` with exactly one ``0x`` in front, whether or not the log carries it."""
-    data = F.lower(F.coalesce(F.col("data"), F.lit("0x")))
-    return F.when(data.startswith("0x"), data).otherwise(F.concat(F.lit("0x"), data))
+def _payload() -> Column:
+    """The bytes of ``data``, with or without ``0x`` in front; null if it is no hex text of even length."""
+    data = F.coalesce(F.col("data"), F.lit("0x"))
+    body = F.when(F.substring(data, 1, 2).isin("0x", "0X"), F.substring(data, F.lit(3), F.octet_length(data))).otherwise(data)
+    return F.when(F.octet_length(data) % 2 == 0, F.unhex(body))
 
 
-def _prepare(logs: DataFrame) -> DataFrame:
+def _prepare(logs: DataFrame, registry: Registry) -> DataFrame:
+    topic0 = F.lower(F.get(F.col("topics"), 0))
+    places = F.create_map(*[F.lit(x) for k, s in _events(registry) for x in (s.topic0, k)]) if len(registry) else None
     st = F.struct(
-        F.lower(F.get(F.col("topics"), 0)).alias(_T0),
-        hex_payload().alias(_HEXC),
+        (F.lit(0) if places is None else F.coalesce(F.try_element_at(places, topic0), F.lit(0))).alias(EVENT),
+        _payload().alias(_BYTES),
         F.coalesce(F.size("topics"), F.lit(0)).alias(_NTOPC),
     )
     return logs.select("*", F.inline(F.array(st)))
 
 
-def _hex() -> Column:
-    """Lower-cased ``data`` (still carrying its ``0x``)."""
-    return F.col(_HEXC)
-
-
-def _word(i: int) -> Column:
-    return W.word(_hex(), i, prefixed=True)
-
-
-def _payload_len() -> Column:
-    return F.length(_hex()) - 2
+def _bytes() -> Column:
+    return F.col(_BYTES)
 
 
 def _ntop() -> Column:
@@ -104,22 +94,22 @@ def _topic(i: int) -> Column:
     return F.get(F.col("topics"), i)
 
 
-def _t0() -> Column:
-    return F.col(_T0)
+def _is_event(k: int) -> Column:
+    return F.col(EVENT) == F.lit(k)
 
 
-def _is_spec(spec: EventSpec) -> Column:
-    return _t0() == F.lit(spec.topic0)
+def _events(registry: Registry) -> Iterable[tuple[int, EventSpec]]:
+    """The specs with their place, as ``_prepare`` numbers them."""
+    return enumerate(registry, 1)
 
 
 def _spec_reason(spec: EventSpec, semantics: str) -> Column:
     """Ordered checks of one spec after the topic0 lookup succeeded; null = keep."""
-    h = _hex()
     branches: list[tuple[Column, str]] = []
     if spec.fast_zero_words:
         fz = None
         for first, count in W.runs(spec.fast_zero_words):
-            z = W.is_zero_hex(W.words(h, first, count, prefixed=True), W.WORD * count)
+            z = W.is_zero_bytes(W.byte_words(_bytes(), first, count), 32 * count)
             fz = z if fz is None else fz & z
         branches.append((fz, "fast_zero"))
     for f in spec.topic_fields:
@@ -128,7 +118,7 @@ def _spec_reason(spec: EventSpec, semantics: str) -> Column:
             branches.append((~W.is_hex(W.topic_body(_topic(f.index)), allow_empty=False, even=False), "bad_topic"))
     if spec.data_fields:
         need = max(f.word_index for f in spec.data_fields) + 1
-        branches.append((_payload_len() < F.lit(W.WORD * need), "short_data"))
+        branches.append((F.length(_bytes()) < F.lit(32 * need), "short_data"))
     if spec.drop_if_all_zero_fields:
         # all(...) short-circuits: a non-integer field is only reached (and raises in
         # the reference) when every field before it decoded to zero.
@@ -137,7 +127,7 @@ def _spec_reason(spec: EventSpec, semantics: str) -> Column:
             f = spec.data_field(name)
             if f is None:
                 continue  # not a data field: counts as zero
-            z = W.zero_value_test(_word(f.word_index), f.type, semantics)
+            z = W.zero_value_test(W.byte_words(_bytes(), f.word_index), f.type, semantics)
             if z is None:
                 branches.append((prefix_zero, "bad_zero_field"))
                 prefix_zero = F.lit(False)
@@ -150,24 +140,18 @@ def _spec_reason(spec: EventSpec, semantics: str) -> Column:
     return expr if expr is not None else F.lit(None).cast("string")
 
 
-def _data_ok() -> Column:
-    h = _hex()
-    return W.is_hex(F.substring(h, F.lit(3), F.length(h)))
-
-
 def _reason(registry: Registry, semantics: str) -> Column:
     per_spec = None
-    for s in registry:
+    for k, s in _events(registry):
         r = _spec_reason(s, semantics)
-        per_spec = F.when(_is_spec(s), r) if per_spec is None else per_spec.when(_is_spec(s), r)
-    known = _t0().isin(registry.topic0s()) if len(registry) else F.lit(False)
+        per_spec = F.when(_is_event(k), r) if per_spec is None else per_spec.when(_is_event(k), r)
     addr = F.coalesce(F.col("address"), F.lit(""))
     addr_ok = (F.length(addr) == 42) & (F.lower(F.substring(addr, 1, 2)) == "0x") & W.is_hex(F.substring(addr, 3, 40))
     expr = (
         F.when(F.col("block_number").isNull(), F.lit("null_block"))
         .when(_ntop() <= 0, F.lit("no_topics"))
-        .when(~_data_ok(), F.lit("bad_hex"))
-        .when(~F.coalesce(known, F.lit(False)), F.lit("unknown_topic"))  # a null topic0 is unknown too
+        .when(_bytes().isNull(), F.lit("bad_hex"))
+        .when(_is_event(0), F.lit("unknown_topic"))  # a null topic0 is unknown too
     )
     if per_spec is not None:
         expr = expr.when(per_spec.isNotNull(), per_spec)
@@ -179,107 +163,103 @@ def classify(logs: DataFrame, registry: Registry, semantics: str = "reference")
     _check_semantics(semantics)
     # the reason is produced by a generator so that a later filter on it does not
     # inline (and duplicate) the whole expression next to the projection
-    prep = _prepare(logs)
+    prep = _prepare(logs, registry)
     reason = _cached("reason", registry, semantics, lambda: _reason(registry, semantics))
     out = prep.select("*", F.inline(F.array(F.struct(reason.alias(_REASON)))))
     return out.drop(*_PREP)
 
 
-def _field_value(spec: EventSpec, out: str, semantics: str):
-    """('str', Column) or ('int', body, mode, fixed_width) for one spec's output column."""
-    ref = dict(spec.projection)[out]
-    if ref.kind == "none":
-        return ("str", F.lit(None).cast("string"))
-    if ref.kind == "const":
-        return ("str", F.lit(ref.value).cast("string"))
-    if ref.kind == "topic":
-        f = spec.topic_field(ref.value)
-        t = _topic(f.index)
-        if f.type == "address":
-            return ("str", W.address_from_topic(t))
-        if W.is_int_type(f.type):
-            mode = -W.int_bits(f.type) if (semantics == "abi" and f.type.startswith("int")) else 0
-            return ("int", W.topic_body(t), mode, False)
-        return ("str", F.lower(t))
-    f = spec.data_field(ref.value)
-    w = _word(f.word_index)
-    if f.type == "address":
-        return ("str", W.address_from_word(w))
-    if f.type.startswith("uint"):
-        return ("int", w, 0, True)
-    if f.type.startswith("int"):
-        n = W.int_bits(f.type)
-        return ("int", w, n if semantics == "reference" else -n, True)
-    return ("str", F.concat(F.lit("0x"), w))
-
-
-class _Conversions:
-    """Distinct integer conversions of a registry, each computed once per row."""
-
-    def __init__(self):
-        self.keys: dict[tuple, str] = {}
-        self.plans: dict[str, tuple[Column, Column | None, int]] = {}
-        self.users: dict[str, list[str]] = {}
-
-    def ref(self, key: tuple, body: Column, mode: int, fixed: bool, topic0: str) -> Column:
-        if key not in self.keys:
-            name = f"__v{len(self.keys)}"
-            self.keys[key] = name
-            f_expr, s_expr = W.decimal_plan(body, mode, fixed)
-            self.plans[name] = (f_expr, s_expr, mode)
-            self.users[name] = []
-        name = self.keys[key]
-        if topic0 not in self.users[name]:
-            self.users[name].append(topic0)
-        return F.col(name)
-
-    def _gate(self, name: str, c: Column) -> Column:
-        """Evaluate a conversion only on rows of the events that use it."""
-        return F.when(_t0().isin(self.users[name]), c)
-
-    @property
-    def fast(self) -> dict[str, Column]:
-        return {n: self._gate(n, f) for n, (f, _, _) in self.plans.items()}
-
-    @property
-    def slow(self) -> dict[str, tuple[Column | None, int]]:
-        return {n: (None if s is None else self._gate(n, s), m) for n, (_, s, m) in self.plans.items()}
-
-
-def _value(spec: EventSpec, out: str, semantics: str, conv: _Conversions) -> Column:
-    v = _field_value(spec, out, semantics)
-    if v[0] == "str":
-        return v[1]
-    _, body, mode, fixed = v
-    ref = dict(spec.projection)[out]
+class Conversions:
+    """The distinct values that a registry's fields take from a log, each computed once per row and only in rows of the events that use it.
+
+    A value is told by (kind, index, class, mode): the registry may have any number of events, the values are as many as places and types differ."""
+
+    def __init__(self, registry: Registry, semantics: str) -> None:
+        users: dict[tuple, set[int]] = {}
+        self.places: dict[tuple[int, str], tuple] = {}  # (event, output column) -> key
+        for k, spec in _events(registry):
+            for out, ref in spec.projection:
+                if ref.kind not in ("const", "none"):
+                    key = self.places[k, out] = field_key(spec, ref, semantics)
+                    users.setdefault(key, set()).add(k)
+        self.words: list[Column] = []  # what several values are made from
+        self.plans: list[Column] = []
+        self.values: dict[tuple, Column] = {}
+        for kind, i in dict.fromkeys(key[:2] for key in users if key[2] == "int"):
+            used = F.col(EVENT).isin(sorted(set().union(*[e for key, e in users.items() if key[:3] == (kind, i, "int")])))
+            self.words.append(F.when(used, W.topic_word(W.topic_body(_topic(i))) if kind == "topic" else W.byte_words(_bytes(), i)).alias(f"__{kind}{i}"))
+        wide = []
+        for n, (key, events) in enumerate(users.items()):
+            kind, i, cls, mode = key
+            used, v = F.col(EVENT).isin(sorted(events)), F.col(f"__v{n}")
+            self.values[key] = v
+            if cls == "int":
+                name = f"__{kind}{i}"
+                value, left = W.bytes_plan(F.col(name), mode)
+                if left is not None:
+                    digits = W.topic_body(_topic(i)) if kind == "topic" else F.hex(F.col(name))
+                    wide.append(F.when(used & left, F.concat(F.lit(f"{n}:{mode}="), digits)))
+                    self.values[key] = F.coalesce(v, F.col(_WIDE).getItem(str(n)))
+            elif cls == "address":
+                value = W.address_from_topic(_topic(i)) if kind == "topic" else W.address_from_bytes(W.byte_words(_bytes(), i))
+            else:
+                value = F.lower(_topic(i)) if kind == "topic" else F.concat(F.lit("0x"), F.lower(F.hex(W.byte_words(_bytes(), i))))
+            self.plans.append(F.when(used, value).alias(f"__v{n}"))
+        # a log's wide integers go to Python in one text, and nothing if it has none
+        self.left = F.nullif(F.concat_ws(",", *wide), F.lit("")) if wide else None
+
+    def over(self, kept: DataFrame, keep: list[str], **more: Column) -> DataFrame:
+        """``keep``, ``more`` and the event of the prepared logs ``kept``, and the columns that ``values`` name."""
+        kept = kept.select(*dict.fromkeys([*keep, "address", "topics", EVENT, _BYTES]), *self.words)
+        left = [] if self.left is None else [self.left.alias(_WIDE)]
+        kept = kept.select(*dict.fromkeys([*keep, "address", EVENT]), *self.plans, *left)
+        # (two uses of the text keep Catalyst from moving the values above Python, into one generated method with all that follows)
+        wide = {} if self.left is None else {
+            _WIDE: F.when(F.col(_WIDE).isNotNull(), F.str_to_map(wide_int_to_decimal(F.col(_WIDE), F.lit(0)), F.lit(","), F.lit("=")))}
+        made = more | wide
+        return kept.select(*[c for c in kept.columns if c not in made and (c in keep or c != "address")], *[c.alias(n) for n, c in made.items()])
+
+
+def field_key(spec: EventSpec, ref: Ref, semantics: str) -> tuple[str, int, str, int]:
+    """``(kind, index, class, mode)`` of what a projection takes from a topic or a data word; the mode is ``W.bytes_plan``'s."""
     f = spec.topic_field(ref.value) if ref.kind == "topic" else spec.data_field(ref.value)
     idx = f.index if ref.kind == "topic" else f.word_index
-    return conv.ref((ref.kind, idx, mode), body, mode, fixed, spec.topic0)
+    if f.type == "address":
+        return ref.kind, idx, "address", 0
+    if not W.is_int_type(f.type):
+        return ref.kind, idx, "raw", 0
+    if f.type.startswith("uint") or (ref.kind == "topic" and semantics == "reference"):
+        return ref.kind, idx, "int", 0
+    return ref.kind, idx, "int", W.int_bits(f.type) if semantics == "reference" else -W.int_bits(f.type)
 
 
-def _output_column(registry: Registry, out: str, semantics: str, conv: _Conversions) -> Column:
+def _output_column(registry: Registry, out: str, conv: Conversions) -> Column:
     expr = None
-    for s in registry:
-        if out not in dict(s.projection):
+    for k, s in _events(registry):
+        ref = dict(s.projection).get(out)
+        if ref is None:
             continue
-        v = _value(s, out, semantics, conv)
-        expr = F.when(_is_spec(s), v) if expr is None else expr.when(_is_spec(s), v)
+        v = F.lit(ref.value if ref.kind == "const" else None).cast("string") if ref.kind in ("const", "none") else conv.values[conv.places[k, out]]
+        expr = F.when(_is_event(k), v) if expr is None else expr.when(_is_event(k), v)
     return expr if expr is not None else F.lit(None).cast("string")
 
 
+def kept(logs: DataFrame, registry: Registry, semantics: str = "reference") -> DataFrame:
+    """The decodable logs, prepared; the reason is looked at once, in a filter."""
+    _check_semantics(semantics)
+    reason = _cached("reason", registry, semantics, lambda: _reason(registry, semantics))
+    return _prepare(logs, registry).where(reason.isNull())
+
+
 def _check_semantics(semantics: str) -> None:
     if semantics not in ("reference", "abi"):
         raise ValueError("semantics must be 'reference' or 'abi'")
 
 
-def _values(registry: Registry, outs: list[str], semantics: str):
-    names = None
-    for s in registry:
-        names = F.when(_is_spec(s), F.lit(s.name)) if names is None else names.when(_is_spec(s), F.lit(s.name))
-    conv = _Conversions()
-    values = [_output_column(registry, o, semantics, conv).alias(o) for o in outs]
-    int_pairs = sum(1 for sp in registry for o, _ in sp.projection if _field_value(sp, o, semantics)[0] == "int")
-    return names, (conv.fast, conv.slow), values, int_pairs
+def _values(registry: Registry, outs: list[str], semantics: str) -> tuple[Conversions, Column, list[Column]]:
+    conv = Conversions(registry, semantics)
+    names = F.get(F.array(*[F.lit(s.name) for s in registry]), F.col(EVENT) - 1) if len(registry) else F.lit(None).cast("string")
+    return conv, names, [_output_column(registry, o, conv).alias(o) for o in outs]
 
 
 def restrict(logs: DataFrame, registry: Registry, events: Iterable[str] | None,
@@ -323,7 +303,7 @@ def decode(
     logs, registry = restrict(logs, registry, events, lower_case)
     outs = registry.output_columns()
     reason = _cached("reason", registry, semantics, lambda: _reason(registry, semantics))
-    df = _prepare(logs).withColumn(_REASON, reason)
+    df = _prepare(logs, registry).withColumn(_REASON, reason)
     if on_error == "fail":
         failing = F.col(_REASON).isin(*ERROR_REASONS)
         df = df.where(
@@ -337,38 +317,22 @@ def decode(
         df = df.where(F.col(_REASON).isNull())
     else:  # dropped logs lose their topic, so no conversion looks at them; the generator keeps the reason computed once
         kept = F.col(_REASON).isNull()
-        fields = {_T0: F.when(kept, F.col(_T0)), "address": F.when(kept, F.col("address")), _REASON: F.col(_REASON)} | tags
+        fields = {EVENT: F.when(kept, F.col(EVENT)).otherwise(0), "address": F.when(kept, F.col("address")), _REASON: F.col(_REASON)} | tags
         columns = [c for c in df.columns if c not in fields]
         df = df.select(*columns, F.inline(F.array(F.struct(*[c.alias(n) for n, c in fields.items()]))))
         keep_reason = True
-    names, conv, values, int_pairs = _cached("values", registry, semantics, lambda: _values(registry, outs, semantics))
-    # stage 1: each distinct conversion once (JVM fast path + leftover input for the UDF)
-    keep = ["block_number", "block_timestamp", "tx_hash", "log_index", "address", "topics", *_PREP]
-    keep += [_REASON] if keep_reason else []
-    keep += list(tags or ())
-    # Behind a one-row generator each conversion is evaluated once; as plain aliases
-    # CollapseProject would inline them into every CASE branch that uses them.
-    fast, slow = conv
-    fields = [c.alias(n) for n, c in fast.items()]
-    fields += [sc.alias(n + "s") for n, (sc, _) in slow.items() if sc is not None]
-    if fields and int_pairs >= BARRIER_MIN_INT_PROJECTIONS:
-        staged = df.select(*keep, F.inline(F.array(F.struct(*fields))))
-    else:
-        staged = df.select(*keep, *fields)
-    wide = {n: F.coalesce(F.col(n), wide_int_to_decimal(F.col(n + "s"), F.lit(m)))
-            for n, (sc, m) in slow.items() if sc is not None}
-    staged = staged.select(*keep, *[wide.get(n, F.col(n)).alias(n) for n in fast])
+    extra = ([_REASON] if keep_reason else []) + list(tags or ())
+    conv, names, values = _cached("values", registry, semantics, lambda: _values(registry, outs, semantics))
+    df = conv.over(df, ["block_number", "block_timestamp", "tx_hash", "log_index", *extra], contract=checksum_address(F.col("address")))
     cols = [
         F.col("block_number").cast("long").alias("block_number"),
         F.coalesce(F.col("block_timestamp").cast("long"), F.lit(0).cast("long")).alias("block_timestamp"),
         F.col("tx_hash"),
         F.col("log_index").cast("long").alias("log_index"),
-        checksum_address(F.col("address")).alias("contract"),
-        (names if names is not None else F.lit(None).cast("string")).alias("event"),
+        "contract",
+        names.alias("event"),
     ]
-    cols += values
-    extra = [F.col(c) for c in ([_REASON] if keep_reason else []) + list(tags or ())]
-    return staged.select(*cols, *extra)
+    return df.select(*cols, *values, *extra)
 
 
 def decode_sorted(logs: DataFrame, registry: Registry, order_by: list[str], semantics: str = "reference",

@@ -3,12 +3,11 @@
 ``decode`` compiles the registry into CASE expressions, which is the fastest
 form for tens of events.  With hundreds of events (e.g. every ABI of a
 protocol), the registry is better treated as data: its fields become a small
-table ``(topic0, event, field, kind, idx, type_class, bits)`` joined to the logs
-on ``topic0``.  The table has one row per projected field, so its size is known
+table ``(place, event, field, slot, const)`` joined to the logs
+on the event's place.  The table has one row per projected field, so its size is known
 on the driver; it is broadcast below ``BROADCAST_FIELDS_MAX`` rows and shuffled
-otherwise.  Each output row is one decoded field (long form); integer fields use
-the same JVM fast paths / Arrow UDF as ``decode``, dispatched on the handful of
-distinct (kind, mode) combinations instead of on every event.
+otherwise.  Each output row is one decoded field (long form); a log's values are computed
+once, as in ``decode``, one for each distinct (kind, index, type) of the registry, and its fields take theirs by number.
 """
 
 from __future__ import annotations
@@ -16,8 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import words as W
-from ..functions.udfs import checksum_address, wide_int_to_decimal
+from ..functions.udfs import checksum_address
 from ..registry import Registry
 from . import decode as D
 
@@ -25,30 +23,15 @@ BROADCAST_FIELDS_MAX = 200_000
 
 
 def field_table(registry: Registry, semantics: str = "reference"):
-    rows = []
-    for s in registry:
-        for out, ref in s.projection:
-            if ref.kind in ("const", "none"):
-                rows.append((s.topic0, s.name, out, ref.kind, -1, "text", 0, ref.value))
-                continue
-            f = s.topic_field(ref.value) if ref.kind == "topic" else s.data_field(ref.value)
-            idx = f.index if ref.kind == "topic" else f.word_index
-            if f.type == "address":
-                cls, mode = "address", 0
-            elif W.is_int_type(f.type):
-                n = W.int_bits(f.type)
-                if f.type.startswith("uint") or (ref.kind == "topic" and semantics == "reference"):
-                    mode = 0
-                else:
-                    mode = n if semantics == "reference" else -n
-                cls = "int"
-            else:
-                cls, mode = "raw", 0
-            rows.append((s.topic0, s.name, out, ref.kind, idx, cls, mode, None))
-    return rows
+    """``(event's place, event, field, place of its value among a log's values, const)`` and the values' columns."""
+    conv = D.Conversions(registry, semantics)
+    slots = {key: n for n, key in enumerate(conv.values)}
+    rows = [(k, s.name, out, None if ref.kind in ("const", "none") else slots[D.field_key(s, ref, semantics)], ref.value if ref.kind == "const" else None)
+            for k, s in enumerate(registry, 1) for out, ref in s.projection]
+    return rows, conv
 
 
-FIELD_SCHEMA = "topic0 string, event string, field string, kind string, idx int, cls string, mode int, const string"
+FIELD_SCHEMA = "place int, event string, field string, slot int, const string"
 
 
 def decode_long(logs: DataFrame, registry: Registry, semantics: str = "reference") -> DataFrame:
@@ -57,45 +40,21 @@ def decode_long(logs: DataFrame, registry: Registry, semantics: str = "reference
 
     spark = logs.sparkSession
     ship_package(spark)
-    rows = field_table(registry, semantics)
+    rows, conv = field_table(registry, semantics)
     fields = spark.createDataFrame(rows, FIELD_SCHEMA)
     if len(rows) <= BROADCAST_FIELDS_MAX:
         fields = F.broadcast(fields)
-    kept = D.classify(logs, registry, semantics).where(F.col("filter_reason").isNull())
-    # what is the same for all fields of a log is made once, before the join makes a row of each field
+    # a log's values are made once, before the join makes a row of each field
+    kept = conv.over(D.kept(logs, registry, semantics), ["block_number", "block_timestamp", "tx_hash", "log_index"], contract=checksum_address(F.col("address")))
     kept = kept.select(
         F.col("block_number").cast("long").alias("block_number"),
         F.coalesce(F.col("block_timestamp").cast("long"), F.lit(0).cast("long")).alias("block_timestamp"),
         "tx_hash",
         F.col("log_index").cast("long").alias("log_index"),
-        checksum_address(F.col("address")).alias("contract"),
-        "topics",
-        F.inline(F.array(F.struct(F.lower(F.get(F.col("topics"), 0)).alias("__t0"), D.hex_payload().alias("__hex")))),
+        "contract",
+        D.EVENT,
+        (F.array(*conv.values.values()) if conv.values else F.array().cast("array<string>")).alias("__values"),
     )
-    j = kept.join(fields, kept["__t0"] == fields["topic0"])
-    topic = F.get(F.col("topics"), F.col("idx"))
-    wrd = F.substring(F.col("__hex"), F.lit(3) + F.col("idx") * W.WORD, F.lit(W.WORD))
-    value = (
-        F.when(F.col("kind") == "const", F.col("const"))
-        .when(F.col("kind") == "none", F.lit(None).cast("string"))
-        .when((F.col("cls") == "address") & (F.col("kind") == "topic"), W.address_from_topic(topic))
-        .when(F.col("cls") == "address", W.address_from_word(wrd))
-        .when((F.col("cls") == "raw") & (F.col("kind") == "topic"), F.lower(topic))
-        .when(F.col("cls") == "raw", F.concat(F.lit("0x"), wrd))
-    )
-    modes = sorted({(r[3], r[6]) for r in rows if r[5] == "int"})
-    fast, slow = value, None
-    for kind, mode in modes:
-        body = W.topic_body(topic) if kind == "topic" else wrd
-        f_expr, s_expr = W.decimal_plan(body, mode, kind == "data")
-        cond = (F.col("cls") == "int") & (F.col("kind") == kind) & (F.col("mode") == mode)
-        fast = fast.when(cond, f_expr)
-        if s_expr is not None:
-            slow = F.when(cond, s_expr) if slow is None else slow.when(cond, s_expr)
-    # computed once behind a generator; rows without a value go before Python sees any (a wide integer's digits are checked, so it always has one)
-    plan = [fast.alias("__fast"), (F.lit(None).cast("string") if slow is None else slow).alias("__slow")]
-    out = j.select(
-        "block_number", "block_timestamp", "tx_hash", "log_index", "contract", "event", "field", "mode", F.inline(F.array(F.struct(*plan))))
-    out = out.where(F.col("__fast").isNotNull() | F.col("__slow").isNotNull())
-    value = F.col("__fast") if slow is None else F.coalesce("__fast", wide_int_to_decimal(F.col("__slow"), F.col("mode")))
-    return out.select("block_number", "block_timestamp", "tx_hash", "log_index", "contract", "event", "field", value.alias("value"))
+    value = F.coalesce("const", F.get(F.col("__values"), F.col("slot")))
+    out = kept.join(fields, kept[D.EVENT] == fields["place"])
+    return out.select("block_number", "block_timestamp", "tx_hash", "log_index", "contract", "event", "field", value.alias("value")).where("value is not null")
